@@ -1,0 +1,56 @@
+"""Rank within groups; the order status has three values, each with a third of the orders."""
+
+from millrace.operators import rank_within
+
+from .registry import query, table
+
+# Below the group size at scale factor 0.01, so that the checks cover groups ranked by many tasks.
+SPLIT_ABOVE = 1000
+
+
+def orders(spark, sf_dir, *columns):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", *columns)
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_totalprice,
+           rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rank
+    FROM orders
+""")
+def rank_by_price(spark, sf_dir):
+    return rank_within(orders(spark, sf_dir, "o_totalprice"), ["o_orderstatus"],
+                       ["o_totalprice", "o_orderkey"], [False, True])
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_orderdate,
+           rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate DESC) AS rank
+    FROM orders
+""")
+def rank_large_groups(spark, sf_dir):
+    """Groups above the limit, with ties."""
+    return rank_within(orders(spark, sf_dir, "o_orderdate"), ["o_orderstatus"], ["o_orderdate"],
+                       [False], max_group_rows=SPLIT_ABOVE)
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_orderpriority,
+           rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS rank
+    FROM orders
+""")
+def rank_large_ties(spark, sf_dir):
+    """Groups above the limit, in which some order values are themselves shared by so many rows."""
+    return rank_within(orders(spark, sf_dir, "o_orderpriority"), ["o_orderstatus"],
+                       ["o_orderpriority"], max_group_rows=SPLIT_ABOVE)
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_totalprice,
+           rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS price_rank
+    FROM orders
+""")
+def rank_small_groups(spark, sf_dir):
+    return rank_within(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+        ["o_custkey"], ["o_totalprice"], name="price_rank",
+    )

@@ -1,0 +1,36 @@
+"""Registry of queries and the helpers they share."""
+
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES = {}
+ORACLE = {}
+
+
+def query(sql: str | None = None):
+    """Register ``fn(spark, sf_dir)`` under its name, with ``sql`` as its check.
+
+    Times are compared as UTC, so the session is set to that zone.
+    """
+    def register(fn):
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
+        if sql is not None:
+            ORACLE[fn.__name__] = sql
+        return run
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def without_zone(df: DataFrame, *columns: str) -> DataFrame:
+    """Timestamps as wall-clock time of the session zone, which is what the SQL side has."""
+    return df.withColumns({c: df[c].cast("timestamp_ntz") for c in columns})

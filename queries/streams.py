@@ -1,0 +1,90 @@
+"""The same counts as streams: messages lie in a directory, closed windows are appended to Parquet.
+
+Messages that are there at the start make one batch, so no row is late and the result is exact.
+"""
+
+from pyspark.sql import functions as F
+
+from millrace.operators import flatten_window
+from millrace.plans import article_edit_counts, page_edit_counts
+from millrace.sources import read_stream_output, stream_parquet
+from millrace.streaming import stream_to_parquet
+from millrace.workspace import scratch_path
+
+from .edits import (
+    EDITS, EDIT_COUNTS, HUMAN_EDITS, change_messages, counts_sql, edit_messages, numbered,
+)
+from .registry import query, without_zone
+
+
+def run_once(counts, path, checkpoint, **options):
+    stream_to_parquet(
+        counts, path, checkpoint, trigger={"availableNow": True}, **options
+    ).awaitTermination()
+
+
+def streamed(spark, messages, plan, **options):
+    """Run ``plan`` over a directory of messages until all is read; returns the output path."""
+    inbox, path = scratch_path(spark, "inbox"), scratch_path(spark, "counts")
+    messages.write.parquet(inbox)
+    run_once(plan(stream_parquet(spark, inbox)), path, scratch_path(spark, "checkpoint"), **options)
+    return path
+
+
+PAGE_COUNTS = counts_sql(EDITS, "1 minute", "page_title", "2 minutes")
+ARTICLE_COUNTS = counts_sql(HUMAN_EDITS, "6 hours", "page_title", "10 minutes", EDIT_COUNTS)
+
+
+@query(PAGE_COUNTS)
+def stream_page_counts(spark, sf_dir):
+    path = streamed(spark, edit_messages(spark, sf_dir), page_edit_counts)
+    return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")
+
+
+@query(ARTICLE_COUNTS)
+def stream_article_counts(spark, sf_dir):
+    """Partitioned by window start."""
+    path = streamed(
+        spark, change_messages(spark, sf_dir),
+        lambda messages: article_edit_counts(messages, width="6 hours"),
+        partition_by=["window_start"],
+    )
+    return without_zone(spark.read.parquet(path), "window_start", "window_end")
+
+
+@query(f'SELECT * FROM ({PAGE_COUNTS}) ORDER BY window_start DESC, "count" DESC, page_title DESC LIMIT 10')
+def stream_latest_pages(spark, sf_dir):
+    """The ten latest and largest counts the stream has written, sorted by a nested field."""
+    path = streamed(spark, edit_messages(spark, sf_dir), page_edit_counts)
+    latest = read_stream_output(spark, path, ["window.start", "count", "page_title"], 10)
+    return without_zone(flatten_window(latest), "window_start", "window_end")
+
+
+@query(f"SELECT * FROM ({ARTICLE_COUNTS}) "
+       "ORDER BY window_start DESC, edit_count DESC, page_title DESC LIMIT 10")
+def stream_latest_articles(spark, sf_dir):
+    path = streamed(
+        spark, change_messages(spark, sf_dir),
+        lambda messages: article_edit_counts(messages, width="6 hours"),
+    )
+    latest = read_stream_output(spark, path, ["window_start", "edit_count", "page_title"], 10)
+    return without_zone(latest, "window_start", "window_end")
+
+
+@query(counts_sql("SELECT ts AS event_time, event_type AS page_title FROM events", "6 hours",
+                  "page_title", "10 minutes"))
+def stream_resumed(spark, sf_dir):
+    """The query ends after the first half of the time and goes on from its checkpoint when the
+    second half has arrived; windows open at the break are counted over both."""
+    messages = numbered(spark, sf_dir).select(
+        F.to_json(F.struct(F.col("event_type").alias("page_title"), F.col("iso").alias("event_time")))
+        .alias("value"), "ts",
+    )
+    middle = F.lit("2024-01-16 01:30:00").cast("timestamp_ntz")
+    inbox, path = scratch_path(spark, "inbox"), scratch_path(spark, "counts")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for half in (F.col("ts") < middle, F.col("ts") >= middle):
+        messages.where(half).drop("ts").write.mode("append").parquet(inbox)
+        counts = page_edit_counts(stream_parquet(spark, inbox), "6 hours", "10 minutes")
+        run_once(counts, path, checkpoint)
+    return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")
