@@ -87,11 +87,16 @@ def _attach(rows: DataFrame, ranks: DataFrame, keys: list[str], name: str,
             limit: int) -> DataFrame:
     """Join the ranks to the rows; an order value shared by very many rows skips the shuffle."""
     ranks = ranks.checkpoint()
-    frequent = F.broadcast(_large(ranks, keys, limit, name))
     other = ranks.where(F.col("_rows") <= limit).select(
         *[F.col(key).alias(f"_{key}") for key in keys], name
     )
-    spread = rows.join(frequent, _matches(rows, frequent, keys)).select(*rows.columns, name)
+    # Bounded like the large groups: at most (all rows / limit) values are that frequent.
+    frequent = _large(ranks, keys, limit, name)
+    if frequent.isEmpty():
+        return rows.join(other, _matches(rows, other, keys)).select(*rows.columns, name)
+    frequent = F.broadcast(frequent)
     rest = rows.join(frequent, _matches(rows, frequent, keys), "left_anti")
-    shuffled = rest.join(other, _matches(rest, other, keys)).select(*rows.columns, name)
-    return spread.unionByName(shuffled)
+    return (
+        rows.join(frequent, _matches(rows, frequent, keys)).select(*rows.columns, name)
+        .unionByName(rest.join(other, _matches(rest, other, keys)).select(*rows.columns, name))
+    )
