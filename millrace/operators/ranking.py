@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..workspace import checkpoint_root
+from ..workspace import stored
 
 
 def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
@@ -26,21 +26,21 @@ def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     if largest is None or largest <= max_group_rows:
         return df.withColumn(name, in_one_task)
 
-    checkpoint_root(df.sparkSession)
     # At most (all rows / max_group_rows) groups are that large, which bounds the broadcast.
-    large = F.broadcast(_large(sizes, partition_by, max_group_rows).checkpoint())
+    large = F.broadcast(stored(_more_than(max_group_rows, sizes, partition_by), "large-groups"))
     small_rows = df.join(large, _matches(df, large, partition_by), "left_anti")
     large_rows = df.join(large, _matches(df, large, partition_by), "left_semi")
-
-    ranks = _distinct_ranks(large_rows, partition_by, order_by, order, name)
     return small_rows.withColumn(name, in_one_task).unionByName(
-        _attach(large_rows, ranks, partition_by + order_by, name, max_group_rows)
+        _rank_in_parts(large_rows, partition_by, order_by, order, name, max_group_rows)
     )
 
 
-def _large(counted: DataFrame, keys: list[str], limit: int, *extra: str) -> DataFrame:
-    renamed = [F.col(key).alias(f"_{key}") for key in keys]
-    return counted.where(F.col("_rows") > limit).select(*renamed, *extra)
+def _renamed(columns: list[str]) -> list[Column]:
+    return [F.col(column).alias(f"_{column}") for column in columns]
+
+
+def _more_than(limit: int, counted: DataFrame, keys: list[str]) -> DataFrame:
+    return counted.where(F.col("_rows") > limit).select(*_renamed(keys))
 
 
 def _matches(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -48,55 +48,52 @@ def _matches(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(Column.__and__, [left[key].eqNullSafe(right[f"_{key}"]) for key in keys])
 
 
-def _distinct_ranks(rows: DataFrame, keys: list[str], order_by: list[str], order: list[Column],
-                    name: str) -> DataFrame:
-    """Rank of each distinct (group, order value): one plus the rows that sort before it."""
+def _rank_in_parts(rows: DataFrame, keys: list[str], order_by: list[str], order: list[Column],
+                   name: str, limit: int) -> DataFrame:
     values = rows.groupBy(*keys, *order_by).agg(F.count(F.lit(1)).alias("_rows"))
-    # The cut points are sampled anew in every run, so the parts are written once and then kept.
-    ranged = (
-        values.repartitionByRange(*keys, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
+    # Each run samples its own cut points, so the parts are written once and then kept.
+    parts = stored(
+        values.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()),
+        "order-values",
     )
-    before_in_part = (
-        Window.partitionBy(*keys, "_part").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    columns = keys + order_by
+    ranks = _value_ranks(parts, keys, order, name).select(*_renamed(columns), "_rows", name)
+
+    # Bounded like the large groups: at most (all rows / limit) values are that frequent.
+    frequent = parts.where(F.col("_rows") > limit)
+    if frequent.isEmpty():
+        return rows.join(ranks, _matches(rows, ranks, columns)).select(*rows.columns, name)
+
+    # A value with that many rows would be one task of the join, so its rank is broadcast instead.
+    ranks = stored(ranks, "ranks")
+    is_frequent = F.col("_rows") > limit
+    hot, other = F.broadcast(ranks.where(is_frequent)), ranks.where(~is_frequent)
+    rest = rows.join(hot, _matches(rows, hot, columns), "left_anti")
+    return (
+        rows.join(hot, _matches(rows, hot, columns)).select(*rows.columns, name)
+        .unionByName(
+            rest.join(other, _matches(rest, other, columns)).select(*rows.columns, name)
+        )
     )
+
+
+def _value_ranks(parts: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Rank of each distinct order value of a group: one plus the rows that sort before it, which
+    are those of the group's earlier parts and the earlier ones in its own part."""
     earlier_parts = (
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # A part holds a contiguous range, so there are at most (parts + groups) totals.
+    # A part holds one contiguous range, so there are at most (parts + groups) totals.
     totals = (
-        ranged.groupBy(*keys, "_part").agg(F.sum("_rows").alias("_total"))
+        parts.groupBy(*keys, "_part").agg(F.sum("_rows").alias("_total"))
         .withColumn("_before_part", F.sum("_total").over(earlier_parts))
-        .select(*[F.col(key).alias(f"_{key}") for key in keys],
-                F.col("_part").alias("_in_part"), "_before_part")
+        .select(*_renamed([*keys, "_part"]), "_before_part")
     )
-    joined = ranged.join(
-        F.broadcast(totals),
-        _matches(ranged, totals, keys) & (ranged["_part"] == totals["_in_part"]),
+    before_in_part = (
+        Window.partitionBy(*keys, "_part").orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_rows").over(before_in_part), F.lit(0))
-    return joined.select(
-        *keys, *order_by, "_rows",
-        (F.coalesce("_before_part", F.lit(0)) + before + 1).alias(name),
-    )
-
-
-def _attach(rows: DataFrame, ranks: DataFrame, keys: list[str], name: str,
-            limit: int) -> DataFrame:
-    """Join the ranks to the rows; an order value shared by very many rows skips the shuffle."""
-    ranks = ranks.checkpoint()
-    other = ranks.where(F.col("_rows") <= limit).select(
-        *[F.col(key).alias(f"_{key}") for key in keys], name
-    )
-    # Bounded like the large groups: at most (all rows / limit) values are that frequent.
-    frequent = _large(ranks, keys, limit, name)
-    if frequent.isEmpty():
-        return rows.join(other, _matches(rows, other, keys)).select(*rows.columns, name)
-    frequent = F.broadcast(frequent)
-    rest = rows.join(frequent, _matches(rows, frequent, keys), "left_anti")
-    return (
-        rows.join(frequent, _matches(rows, frequent, keys)).select(*rows.columns, name)
-        .unionByName(rest.join(other, _matches(rest, other, keys)).select(*rows.columns, name))
+    return parts.join(F.broadcast(totals), _matches(parts, totals, [*keys, "_part"])).withColumn(
+        name, F.coalesce("_before_part", F.lit(0)) + before + 1
     )

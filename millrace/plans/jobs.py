@@ -82,10 +82,11 @@ def page_counts(spark: SparkSession) -> Result:
 
 def article_counts(spark: SparkSession) -> Result:
     """Change events of a topic to counts per two minutes and page, a directory per window."""
+    files = job_param(spark, "files_per_batch", "")
     return stream_to_parquet(
         article_edit_counts(_messages(spark)), job_param(spark, "output_path"),
         job_param(spark, "checkpoint_dir"), partition_by=["window_start"],
-        trigger={"processingTime": "1 minute"},
+        trigger={"processingTime": "1 minute"}, files_per_batch=int(files) if files else None,
     )
 
 

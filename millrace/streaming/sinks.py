@@ -16,13 +16,17 @@ from ..operators.windows import flatten_window
 
 
 def stream_to_parquet(df: DataFrame, path: str, checkpoint: str,
-                      partition_by: list[str] | None = None,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      partition_by: list[str] | None = None, trigger: dict | None = None,
+                      files_per_batch: int | None = None) -> StreamingQuery:
     """Append to Parquet files, each batch exactly once.
 
     ``partition_by`` makes one directory per value, so partition by something coarse: a two-minute
-    window start alone makes 720 directories a day.
+    window start alone makes 720 directories a day.  A count is written by as many tasks as hold its
+    state, each with a file per directory; where that is thousands of small files,
+    ``files_per_batch`` shuffles the few rows of the closed windows to so many tasks.
     """
+    if files_per_batch is not None:
+        df = df.repartition(files_per_batch)
     writer = _writer(df, trigger, checkpoint).format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -43,11 +43,11 @@ def stream_page_counts(spark, sf_dir):
 
 @query(ARTICLE_COUNTS)
 def stream_article_counts(spark, sf_dir):
-    """Partitioned by window start."""
+    """Partitioned by window start, with few files in each partition."""
     path = streamed(
         spark, change_messages(spark, sf_dir),
         lambda messages: article_edit_counts(messages, width="6 hours"),
-        partition_by=["window_start"],
+        partition_by=["window_start"], files_per_batch=2,
     )
     return without_zone(spark.read.parquet(path), "window_start", "window_end")
 

@@ -72,7 +72,7 @@ def broker(monkeypatch):
 def test_stream_jobs(spark, params, broker, tmp_path, monkeypatch):
     triggers = []
 
-    def until_all_is_read(df, path, checkpoint, partition_by=None, trigger=None):
+    def until_all_is_read(df, path, checkpoint, partition_by=None, trigger=None, **options):
         triggers.append(trigger)
         return stream_to_parquet(df, path, checkpoint, partition_by, {"availableNow": True})
 

@@ -90,6 +90,21 @@ def test_only_counted_events_close_windows(spark, tmp_path):
     assert read_stream_output(spark, out, ["window_start", "edit_count"], 1).count() == 1
 
 
+def test_files_per_batch(spark, tmp_path):
+    put(spark, tmp_path / "inbox", *[("00:00:10", f"p{i}") for i in range(50)], ("01:00:00", "z"))
+    counts = page_edit_counts(stream_parquet(spark, str(tmp_path / "inbox"), KAFKA_MESSAGE))
+    written = {}
+    for name, files in (("scattered", None), ("gathered", 1)):
+        out = tmp_path / name
+        stream_to_parquet(
+            flatten_window(counts), str(out), str(tmp_path / f"{name}-checkpoint"),
+            ["window_start"], ONCE, files,
+        ).awaitTermination()
+        assert spark.read.parquet(str(out)).count() == 50
+        written[name] = len(list(out.glob("window_start=*/*.parquet")))
+    assert written["gathered"] == 1 < written["scattered"]
+
+
 def test_append_needs_a_watermark(spark, tmp_path):
     put(spark, tmp_path / "inbox", ("00:00:10", "a"))
     stream = stream_parquet(spark, str(tmp_path / "inbox"), KAFKA_MESSAGE)
