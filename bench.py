@@ -81,18 +81,18 @@ def cases(spark):
     registered = {
         name: lambda name=name: QUERIES[name](spark, SF_DIR)
         for name in (
-            "ratings_report", "ratings_ranking", "average_quantity", "count_by_part",
-            "ratings_report_from_files", "read_delimited_multichar", "read_csv_with_inferred_types",
-            "write_parquet_plain", "lift_nested_json", "rank_by_price", "rank_large_groups",
-            "word_counts", "window_edit_counts", "stream_page_counts", "stream_words",
+            "ratings_report", "ratings_ranking", "global_average", "count_by",
+            "ratings_report_from_files", "read_delimited_multichar", "read_csv_inferred",
+            "write_parquet", "lift_nested_field", "rank_within", "rank_within_large_groups",
+            "word_counts", "windowed_edit_counts", "stream_page_counts", "stream_words",
         )
     }
     plain = {
-        "ratings_report": plain_report, "rank_by_price": plain_rank, "word_counts": plain_words,
+        "ratings_report": plain_report, "rank_within": plain_rank, "word_counts": plain_words,
     }
     result = {name: (run, plain.get(name)) for name, run in registered.items()}
-    result["page_counts"] = (lambda: page_edit_counts(edits), plain_page_counts)
-    result["article_counts"] = (lambda: article_edit_counts(changes), plain_article_counts)
+    result["page_edit_counts"] = (lambda: page_edit_counts(edits), plain_page_counts)
+    result["article_edit_counts"] = (lambda: article_edit_counts(changes), plain_article_counts)
     result["feed_changes"] = (
         lambda: normalise_recentchange(decode_sse(read_sse(spark, feed))), None
     )

@@ -10,8 +10,9 @@ def parse_json_events(messages: DataFrame, schema: StructType, columns: list[str
                       time_column: str = "event_time", require_time: bool = False) -> DataFrame:
     """Message ``value`` (text or bytes) to one column per schema field, time as timestamp.
 
-    Malformed JSON gives a row of NULLs.  ``columns`` narrows the schema, so other fields are never
-    converted.  ``require_time`` drops rows whose time is missing or no timestamp.
+    Malformed JSON gives a row of NULLs; a time without zone is one of the session's zone.
+    ``columns`` narrows the schema, so other fields are never converted.  ``require_time`` drops rows
+    whose time is missing or no timestamp.
     """
     if columns is not None:
         schema = StructType([schema[name] for name in columns])

@@ -15,7 +15,8 @@ def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     A window function sorts each group in one task.  Groups of up to ``max_group_rows`` rows take
     that path; only if larger ones exist are those, and only those, ranked over many tasks: their
     distinct order values are counted, range-partitioned and summed up, and the ranks joined back.
-    The group sizes come from a job of their own, which reads just the grouping columns.
+    The group sizes come from a job of their own, which reads just the grouping columns.  As ``df``
+    is read several times, store it first if it takes long to compute.
     """
     ascending = ascending or [True] * len(order_by)
     order = [F.asc(c) if up else F.desc(c) for c, up in zip(order_by, ascending, strict=True)]

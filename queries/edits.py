@@ -108,7 +108,7 @@ EDIT_COUNTS = """
 """
 
 
-@query("""
+@query("encode_messages", """
     SELECT CAST(event_id AS VARCHAR) AS key,
            '{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' ||
            user_id || ',"error_user":' ||
@@ -124,7 +124,7 @@ def encode_events(spark, sf_dir):
     return encode_messages(events)
 
 
-@query(EDITS)
+@query("parse_json_events", EDITS)
 def parse_edits(spark, sf_dir):
     edits = parse_json_events(
         edit_messages(spark, sf_dir), EDIT, ["page_title", "user", "edit_size", "event_time"],
@@ -133,26 +133,26 @@ def parse_edits(spark, sf_dir):
     return without_zone(edits, "event_time")
 
 
-@query(CHANGES)
+@query("parse_json_events_changes", CHANGES)
 def parse_changes(spark, sf_dir):
     changes = parse_json_events(change_messages(spark, sf_dir), CHANGE)
     return without_zone(changes, "event_time")
 
 
-@query(HUMAN_EDITS)
+@query("human_article_edits", HUMAN_EDITS)
 def human_edits(spark, sf_dir):
     changes = parse_json_events(change_messages(spark, sf_dir), CHANGE)
     return without_zone(human_article_edits(changes), "event_time")
 
 
-@query(counts_sql("SELECT ts AS event_time, event_type FROM events", "6 hours", "event_type"))
+@query("windowed_counts", counts_sql("SELECT ts AS event_time, event_type FROM events", "6 hours", "event_type"))
 def window_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp"), "event_type")
     counts = windowed_counts(events, "event_type", time_column="ts", width="6 hours")
     return without_zone(flatten_window(counts), "window_start", "window_end")
 
 
-@query(counts_sql("SELECT ts AS event_time, event_type, value < 50 AS minor FROM events",
+@query("windowed_edit_counts", counts_sql("SELECT ts AS event_time, event_type, value < 50 AS minor FROM events",
                   "2 minutes", "event_type", counts=EDIT_COUNTS))
 def window_edit_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
@@ -162,13 +162,13 @@ def window_edit_counts(spark, sf_dir):
     return without_zone(counts, "window_start", "window_end")
 
 
-@query(counts_sql(EDITS, "1 minute", "page_title"))
+@query("page_edit_counts", counts_sql(EDITS, "1 minute", "page_title"))
 def page_counts(spark, sf_dir):
     counts = flatten_window(page_edit_counts(edit_messages(spark, sf_dir)))
     return without_zone(counts, "window_start", "window_end")
 
 
-@query(counts_sql(HUMAN_EDITS, "2 minutes", "page_title", counts=EDIT_COUNTS))
+@query("article_edit_counts", counts_sql(HUMAN_EDITS, "2 minutes", "page_title", counts=EDIT_COUNTS))
 def article_counts(spark, sf_dir):
     counts = article_edit_counts(change_messages(spark, sf_dir))
     return without_zone(counts, "window_start", "window_end")

@@ -97,25 +97,25 @@ COUNTED = f"""
 """
 
 
-@query(DECODED)
+@query("decode_sse", DECODED)
 def decode_feed(spark, sf_dir):
     return decode_sse(read_sse(spark, capture(spark, sf_dir)))
 
 
-@query(NORMALISED)
+@query("normalise_recentchange", NORMALISED)
 def normalise_feed(spark, sf_dir):
     changes = normalise_recentchange(decode_sse(read_sse(spark, capture(spark, sf_dir))))
     return without_zone(changes, "event_time")
 
 
-@query(counts_sql(COUNTED, "2 minutes", "page_title", counts=EDIT_COUNTS))
+@query("feed_counts", counts_sql(COUNTED, "2 minutes", "page_title", counts=EDIT_COUNTS))
 def feed_counts(spark, sf_dir):
     """From captured text through keyed messages to article counts."""
     messages = change_messages(read_sse(spark, capture(spark, sf_dir)))
     return without_zone(article_edit_counts(messages), "window_start", "window_end")
 
 
-@query(counts_sql(COUNTED, "6 hours", "page_title", "10 minutes", EDIT_COUNTS))
+@query("stream_feed_counts", counts_sql(COUNTED, "6 hours", "page_title", "10 minutes", EDIT_COUNTS))
 def stream_feed_counts(spark, sf_dir):
     """The same over a stream of captured files."""
     path = scratch_path(spark, "counts")

@@ -27,7 +27,7 @@ def rating_lines(spark, sf_dir, delimiter):
     )
 
 
-@query("""
+@query("read_delimited_multichar", """
     SELECT CAST(l_orderkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
            l_quantity AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS "timestamp"
     FROM lineitem
@@ -36,20 +36,20 @@ def read_delimited_multichar(spark, sf_dir):
     return read_delimited(spark, rating_lines(spark, sf_dir, "::"), RATINGS, "::")
 
 
-@query('SELECT round(avg(l_quantity), 6) AS "avg(rating)" FROM lineitem')
+@query("average_from_delimited", 'SELECT round(avg(l_quantity), 6) AS "avg(rating)" FROM lineitem')
 def average_from_delimited(spark, sf_dir):
     ratings = read_delimited(spark, rating_lines(spark, sf_dir, "::"), RATINGS, "::")
     return rounded(global_average(ratings, "rating"), "avg(rating)")
 
 
-@query("SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS movie_title FROM part")
+@query("read_delimited_prefix", "SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS movie_title FROM part")
 def read_delimited_prefix(spark, sf_dir):
     """Six columns in the file, two in the schema."""
     part = table(spark, sf_dir, "part")
     return read_delimited(spark, delimited(spark, part, "|", *part.columns), MOVIES, "|")
 
 
-@query(f"""
+@query("ratings_report_from_files", f"""
     SELECT CAST(l_partkey AS INTEGER) AS item_id, cnt, avg,
            CAST(p_partkey AS INTEGER) AS movie_id, p_name AS movie_title
     FROM ({RATED}) JOIN part ON l_partkey = p_partkey
@@ -63,9 +63,10 @@ def ratings_report_from_files(spark, sf_dir):
     return rounded(ratings_report(ratings, titles, 10, MIN_COUNT))
 
 
-@query("""
+@query("read_delimited_dates", """
     SELECT CAST(o_orderkey AS INTEGER) AS movie_id, o_orderpriority AS movie_title,
-           CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS date
+           CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END
+           AS date
     FROM orders
 """)
 def read_delimited_dates(spark, sf_dir):
@@ -74,17 +75,18 @@ def read_delimited_dates(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = delimited(spark, orders, "|", "o_orderkey", "o_orderpriority",
                      F.coalesce(pattern, F.date_format("o_orderdate", "yyyy-MM-dd")))
-    return read_delimited(spark, path, DATED_MOVIES, "|", date_format="d-MMM-yyyy")
+    dated = read_delimited(spark, path, DATED_MOVIES, "|", date_format="d-MMM-yyyy")
+    return dated.withColumn("date", F.col("date").cast("string"))
 
 
-@query("SELECT * FROM part")
+@query("read_csv_inferred", "SELECT * FROM part")
 def read_csv_with_inferred_types(spark, sf_dir):
     path = scratch_path(spark, "csv")
     write_csv(table(spark, sf_dir, "part"), path)
     return read_csv_inferred(spark, path).withColumn("p_partkey", F.col("p_partkey").cast("long"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query("write_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def write_csv_in_files(spark, sf_dir):
     """Four files with the orders sorted by price across them."""
     path = scratch_path(spark, "csv")
@@ -94,7 +96,7 @@ def write_csv_in_files(spark, sf_dir):
     return read_delimited(spark, path, kept.schema, header=True)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
+@query("write_parquet", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def write_parquet_plain(spark, sf_dir):
     path = scratch_path(spark, "parquet")
     write_parquet(
@@ -105,8 +107,9 @@ def write_parquet_plain(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("""
-    SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS date
+@query("write_parquet_partitioned", """
+    SELECT event_id, user_id,
+           CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date
     FROM events
 """)
 def write_parquet_by_date(spark, sf_dir):
@@ -117,4 +120,5 @@ def write_parquet_by_date(spark, sf_dir):
         F.when(F.col("event_type") != "error", F.to_date("ts")).alias("date"),
     )
     write_parquet(events, path, partition_by=["date"])
-    return spark.read.schema(events.schema).parquet(path)
+    written = spark.read.schema(events.schema).parquet(path)
+    return written.withColumn("date", F.col("date").cast("string"))

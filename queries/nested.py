@@ -20,7 +20,7 @@ def nested_lines(spark, sf_dir):
     return path
 
 
-@query("""
+@query("read_json", """
     SELECT event_id, event_type,
            CASE WHEN event_type <> 'signup' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k
     FROM events
@@ -36,13 +36,13 @@ LIFTED = """
 """
 
 
-@query(LIFTED)
+@query("lift_nested_field", LIFTED)
 def lift_nested_json(spark, sf_dir):
     events = read_json(spark, nested_lines(spark, sf_dir), SCHEMA)
     return lift_nested_field(events, "attributes.k").drop("attributes")
 
 
-@query(LIFTED)
+@query("lift_nested_field_parquet", LIFTED)
 def lift_nested_parquet(spark, sf_dir):
     """The same from Parquet, where the not-null test and the field choice reach the scan."""
     path = scratch_path(spark, "parquet")

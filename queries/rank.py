@@ -12,7 +12,7 @@ def orders(spark, sf_dir, *columns):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", *columns)
 
 
-@query("""
+@query("rank_within", """
     SELECT o_orderkey, o_orderstatus, o_totalprice,
            rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rank
     FROM orders
@@ -22,7 +22,7 @@ def rank_by_price(spark, sf_dir):
                        ["o_totalprice", "o_orderkey"], [False, True])
 
 
-@query("""
+@query("rank_within_large_groups", """
     SELECT o_orderkey, o_orderstatus, o_orderdate,
            rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate DESC) AS rank
     FROM orders
@@ -33,7 +33,7 @@ def rank_large_groups(spark, sf_dir):
                        [False], max_group_rows=SPLIT_ABOVE)
 
 
-@query("""
+@query("rank_within_large_ties", """
     SELECT o_orderkey, o_orderstatus, o_orderpriority,
            rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS rank
     FROM orders
@@ -44,7 +44,7 @@ def rank_large_ties(spark, sf_dir):
                        ["o_orderpriority"], max_group_rows=SPLIT_ABOVE)
 
 
-@query("""
+@query("rank_within_small_groups", """
     SELECT o_orderkey, o_custkey, o_totalprice,
            rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS price_rank
     FROM orders

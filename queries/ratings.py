@@ -25,7 +25,7 @@ def titles(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
 
-@query(f"""
+@query("ratings_report", f"""
     SELECT l_partkey, cnt, avg, p_partkey, p_name
     FROM ({RATED}) JOIN part ON l_partkey = p_partkey
     ORDER BY avg DESC, l_partkey LIMIT 10
@@ -37,7 +37,7 @@ def ratings_report(spark, sf_dir):
     return rounded(top)
 
 
-@query(f"SELECT l_partkey, cnt, avg, p_partkey, p_name FROM ({RATED}) "
+@query("ratings_ranking", f"SELECT l_partkey, cnt, avg, p_partkey, p_name FROM ({RATED}) "
        "JOIN part ON l_partkey = p_partkey")
 def ratings_ranking(spark, sf_dir):
     """The whole report, sorted, without a limit."""
@@ -47,13 +47,13 @@ def ratings_ranking(spark, sf_dir):
     return rounded(ranking)
 
 
-@query(RATED)
+@query("rated_items", RATED)
 def rated_items_above(spark, sf_dir):
     items = rated_items(table(spark, sf_dir, "lineitem"), "l_partkey", "l_quantity", MIN_COUNT)
     return rounded(items)
 
 
-@query("""
+@query("enrich_with_title", """
     SELECT l_partkey, cnt, avg, p_partkey, p_name
     FROM (SELECT l_partkey, count(l_quantity) AS cnt, round(avg(l_quantity), 6) AS avg
           FROM lineitem GROUP BY l_partkey)
@@ -65,24 +65,24 @@ def enriched_items(spark, sf_dir):
     return rounded(enrich_with_title(items, titles(spark, sf_dir), "l_partkey", "p_partkey"))
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+@query("top_rated", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def top_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return top_rated(orders, 20, by="o_totalprice", tie="o_orderkey")
 
 
-@query("SELECT round(avg(l_quantity), 6) AS avg_quantity FROM lineitem")
+@query("global_average", "SELECT round(avg(l_quantity), 6) AS avg_quantity FROM lineitem")
 def average_quantity(spark, sf_dir):
     average = global_average(table(spark, sf_dir, "lineitem"), "l_quantity", "avg_quantity")
     return rounded(average, "avg_quantity")
 
 
-@query('SELECT l_partkey, count(*) AS "count" FROM lineitem GROUP BY l_partkey')
+@query("count_by", 'SELECT l_partkey, count(*) AS "count" FROM lineitem GROUP BY l_partkey')
 def count_by_part(spark, sf_dir):
     return count_by(table(spark, sf_dir, "lineitem"), "l_partkey")
 
 
-@query('SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL')
+@query("count_by_few_keys", 'SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL')
 def count_by_flags(spark, sf_dir):
     """Few keys that each hold much of the table."""
     return count_by(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", name="n")

@@ -8,8 +8,8 @@ QUERIES = {}
 ORACLE = {}
 
 
-def query(sql: str | None = None):
-    """Register ``fn(spark, sf_dir)`` under its name, with ``sql`` as its check.
+def query(name: str, sql: str):
+    """Register ``fn(spark, sf_dir)`` under ``name``, with ``sql`` as its check.
 
     Times are compared as UTC, so the session is set to that zone.
     """
@@ -19,9 +19,7 @@ def query(sql: str | None = None):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
-        QUERIES[fn.__name__] = run
-        if sql is not None:
-            ORACLE[fn.__name__] = sql
+        QUERIES[name], ORACLE[name] = run, sql
         return run
 
     return register

@@ -35,13 +35,13 @@ PAGE_COUNTS = counts_sql(EDITS, "1 minute", "page_title", "2 minutes")
 ARTICLE_COUNTS = counts_sql(HUMAN_EDITS, "6 hours", "page_title", "10 minutes", EDIT_COUNTS)
 
 
-@query(PAGE_COUNTS)
+@query("stream_page_counts", PAGE_COUNTS)
 def stream_page_counts(spark, sf_dir):
     path = streamed(spark, edit_messages(spark, sf_dir), page_edit_counts)
     return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")
 
 
-@query(ARTICLE_COUNTS)
+@query("stream_article_counts", ARTICLE_COUNTS)
 def stream_article_counts(spark, sf_dir):
     """Partitioned by window start, with few files in each partition."""
     path = streamed(
@@ -52,7 +52,7 @@ def stream_article_counts(spark, sf_dir):
     return without_zone(spark.read.parquet(path), "window_start", "window_end")
 
 
-@query(f'SELECT * FROM ({PAGE_COUNTS}) ORDER BY window_start DESC, "count" DESC, page_title DESC LIMIT 10')
+@query("read_stream_output", f'SELECT * FROM ({PAGE_COUNTS}) ORDER BY window_start DESC, "count" DESC, page_title DESC LIMIT 10')
 def stream_latest_pages(spark, sf_dir):
     """The ten latest and largest counts the stream has written, sorted by a nested field."""
     path = streamed(spark, edit_messages(spark, sf_dir), page_edit_counts)
@@ -60,7 +60,7 @@ def stream_latest_pages(spark, sf_dir):
     return without_zone(flatten_window(latest), "window_start", "window_end")
 
 
-@query(f"SELECT * FROM ({ARTICLE_COUNTS}) "
+@query("read_stream_output_flat", f"SELECT * FROM ({ARTICLE_COUNTS}) "
        "ORDER BY window_start DESC, edit_count DESC, page_title DESC LIMIT 10")
 def stream_latest_articles(spark, sf_dir):
     path = streamed(
@@ -71,20 +71,36 @@ def stream_latest_articles(spark, sf_dir):
     return without_zone(latest, "window_start", "window_end")
 
 
-@query(counts_sql("SELECT ts AS event_time, event_type AS page_title FROM events", "6 hours",
-                  "page_title", "10 minutes"))
-def stream_resumed(spark, sf_dir):
-    """The query ends after the first half of the time and goes on from its checkpoint when the
-    second half has arrived; windows open at the break are counted over both."""
+DAY_COUNTS = counts_sql("SELECT ts AS event_time, event_type AS page_title FROM events", "6 hours",
+                        "page_title", "10 minutes")
+
+
+def run_in_steps(spark, sf_dir, *steps):
+    """One run of the query per step, each of which adds the messages of a condition on ``ts`` and
+    goes on from the checkpoint of the run before."""
     messages = numbered(spark, sf_dir).select(
         F.to_json(F.struct(F.col("event_type").alias("page_title"), F.col("iso").alias("event_time")))
         .alias("value"), "ts",
     )
-    middle = F.lit("2024-01-16 01:30:00").cast("timestamp_ntz")
     inbox, path = scratch_path(spark, "inbox"), scratch_path(spark, "counts")
     checkpoint = scratch_path(spark, "checkpoint")
-    for half in (F.col("ts") < middle, F.col("ts") >= middle):
-        messages.where(half).drop("ts").write.mode("append").parquet(inbox)
+    for condition in steps:
+        messages.where(condition).drop("ts").write.mode("append").parquet(inbox)
         counts = page_edit_counts(stream_parquet(spark, inbox), "6 hours", "10 minutes")
         run_once(counts, path, checkpoint)
     return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")
+
+
+@query("stream_resumed", DAY_COUNTS)
+def stream_resumed(spark, sf_dir):
+    """Windows open at the break are counted over both runs."""
+    return run_in_steps(spark, sf_dir, "ts < '2024-01-16 01:30:00'", "ts >= '2024-01-16 01:30:00'")
+
+
+@query("stream_late_rows", DAY_COUNTS)
+def stream_late_rows(spark, sf_dir):
+    """The last run brings the first ten days once more; all of that is late and dropped."""
+    return run_in_steps(
+        spark, sf_dir, "ts < '2024-01-11'", "ts >= '2024-01-11' AND ts < '2024-01-21'",
+        "ts < '2024-01-11' OR ts >= '2024-01-21'",
+    )

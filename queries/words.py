@@ -10,17 +10,17 @@ from .registry import query, table
 WORDS = "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents"
 
 
-@query(WORDS)
+@query("words", WORDS)
 def document_words(spark, sf_dir):
     return words(table(spark, sf_dir, "documents"), "text", ("doc_id",))
 
 
-@query(f"SELECT word, count(*) AS n FROM ({WORDS}) GROUP BY word")
+@query("word_counts", f"SELECT word, count(*) AS n FROM ({WORDS}) GROUP BY word")
 def word_counts(spark, sf_dir):
     return count_by(words(table(spark, sf_dir, "documents"), "text"), "word", name="n")
 
 
-@query(WORDS)
+@query("stream_words", WORDS)
 def stream_words(spark, sf_dir):
     path = scratch_path(spark, "words")
     # A pattern, since a stream takes a directory and the table may be a single file.
