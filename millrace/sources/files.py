@@ -4,7 +4,7 @@ Paths are handed to Spark as they are, so any configured file system works.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType,
@@ -65,10 +65,15 @@ def read_stream_output(spark: SparkSession, path: str, order_by: list[str] | Non
                        k: int | None = None) -> DataFrame:
     """What a stream has written, highest ``order_by`` first, with ``k`` only the first k rows.
 
-    Columns may be nested (``window.start``).  The sink's own log in the directory keeps files of
-    unfinished batches out.
+    Columns may be nested (``window.start``).  Other columns break ties, so that equal counts, which
+    are many, spread over the tasks of a full sort.  The sink's own log in the directory keeps files
+    of unfinished batches out.
     """
     written = spark.read.parquet(path)
     if order_by:
-        written = written.orderBy(*[F.desc(column) for column in order_by])
+        ties = [
+            field.name for field in written.schema
+            if field.name not in order_by and isinstance(field.dataType, AtomicType)
+        ]
+        written = written.orderBy(*[F.desc(column) for column in order_by], *ties)
     return written if k is None else written.limit(k)

@@ -1,4 +1,4 @@
-"""Folders for data that must outlive a task: checkpoints and derived tables.
+"""Folders for data that must outlive a task: stream checkpoints and derived tables.
 
 On a cluster the folder comes from ``spark.checkpoint.dir``, which has to be shared storage.  Only
 a local session that names none gets a temporary folder of its own.
@@ -13,16 +13,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which is also made the one ``checkpoint()`` writes to."""
+    """The session's checkpoint folder."""
     context = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if root is None:
-        root = context.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if root is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="millrace-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
 

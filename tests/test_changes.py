@@ -57,6 +57,12 @@ def test_captured_files(spark, tmp_path):
     assert rows(decode_sse(crlf)) == want[3:]
 
 
+def test_bytes_that_are_no_text_are_replaced(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b'data: {"id": 1, "title": "a\xffb \xc3\xa9"}\n\n')
+    (change,) = normalise_recentchange(decode_sse(read_sse(spark, str(tmp_path)))).collect()
+    assert (change.event_id, change.page_title) == (1, "a\ufffdb é")
+
+
 def normalised(spark, *texts):
     texts = [t if t is None or isinstance(t, str) else json.dumps(t) for t in texts]
     df = normalise_recentchange(spark.createDataFrame([(t,) for t in texts], "data string"))
@@ -86,6 +92,11 @@ def test_complete_change(spark):
     }
 
 
+def test_last_of_equal_keys_counts(spark):
+    (change,) = normalised(spark, '{"id": 1, "title": "a", "title": "b", "id": 2}')
+    assert (change["event_id"], change["page_title"]) == (2, "b")
+
+
 def test_edit_size_needs_both_lengths(spark):
     sizes = normalised(
         spark, {"length": {"old": 1}}, {"length": {"new": 1}}, {"length": None}, {"length": 5},

@@ -51,3 +51,15 @@ def test_report_reads_two_columns_and_sorts_no_more_than_it_shows(spark, plan, t
     assert "TakeOrderedAndProject(limit=10" in text
     assert "ReadSchema: struct<item_id:int,rating:double>" in text
     assert "partial_count" in text and "PushedFilters: [IsNotNull(item_id)]" in text
+
+
+def test_large_dimension_joins_on_the_partitioning_of_the_aggregate(spark, plan):
+    df = rated_items(ratings(spark, (1, [4.0, 2.0])), min_count=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(enrich_with_title(df, movies(spark, (1, "One"))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text
+    assert text.count("Exchange hashpartitioning(item_id") == 1
+    assert text.count("Exchange") == 2

@@ -126,9 +126,9 @@ def test_stream_output_sorted_by_nested_field(spark, tmp_path):
     path = str(tmp_path / "out")
     spark.sql("""
         SELECT named_struct('start', s) AS window, page, n AS count
-        FROM VALUES (1, 'a', 5), (2, 'b', 1), (2, 'c', 3) AS t(s, page, n)
+        FROM VALUES (1, 'a', 5), (2, 'd', 1), (2, 'b', 1), (2, 'c', 3) AS t(s, page, n)
     """).write.parquet(path)
     ordered = read_stream_output(spark, path, ["window.start", "count"])
-    assert [row.page for row in ordered.collect()] == ["c", "b", "a"]
+    assert [row.page for row in ordered.collect()] == ["c", "b", "d", "a"]
     assert read_stream_output(spark, path, ["window.start", "count"], 1).collect()[0].page == "c"
-    assert read_stream_output(spark, path).count() == 3
+    assert read_stream_output(spark, path).count() == 4
