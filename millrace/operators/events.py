@@ -7,16 +7,19 @@ from ..functions import iso_timestamp, json_record
 
 
 def parse_json_events(messages: DataFrame, schema: StructType, columns: list[str] | None = None,
-                      time_column: str = "event_time", require_time: bool = False) -> DataFrame:
+                      time_column: str | None = "event_time",
+                      require_time: bool = False) -> DataFrame:
     """Message ``value`` (text or bytes) to one column per schema field, time as timestamp.
 
     Malformed JSON gives a row of NULLs; a time without zone is one of the session's zone.
     ``columns`` narrows the schema, so other fields are never converted.  ``require_time`` drops rows
-    whose time is missing or no timestamp.
+    whose time is missing or no timestamp.  With ``time_column=None`` no column is converted.
     """
     if columns is not None:
         schema = StructType([schema[name] for name in columns])
     events = messages.select(json_record(F.col("value").cast("string"), schema))
+    if time_column is None:
+        return events
     events = events.withColumn(time_column, iso_timestamp(F.col(time_column)))
     return events.where(F.col(time_column).isNotNull()) if require_time else events
 

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 from conftest import rows
@@ -132,3 +133,35 @@ def test_messages_from_text(spark):
     assert by_key["3"] == {**DEFAULTS, "event_id": 3, "page_title": None,
                            "event_time": "1970-01-01T00:00:00.000Z"}
     assert by_key[None]["page_title"] == "t"
+
+
+def test_random_events_survive_their_notation(spark, tmp_path):
+    """Events written with random line ends, blanks, comments and split data are decoded as they
+    were."""
+    draw = random.Random(7)
+
+    def noise():
+        return draw.choice(["", "", ": ping\n", "retry: 10\n", "unknown line\n", ":\n"])
+
+    def blanks():
+        return draw.choice(["", " ", "\t", "  "])
+
+    events, text = [], ""
+    for number in range(500):
+        words = ["".join(draw.choices("ab:é{}\" 0", k=draw.randint(1, 12))).strip() or "x"
+                 for _ in range(draw.randint(1, 4))]
+        event_id = str(number) if draw.random() < 0.8 else None
+        kind = draw.choice(["message", None, "other"])
+        lines = [f"{blanks()}data:{blanks()}{word}{blanks()}\n" for word in words]
+        if event_id is not None:
+            lines.insert(draw.randint(0, len(lines)), f"id:{blanks()}{event_id}\n")
+        if kind is not None:
+            lines.insert(draw.randint(0, len(lines)), f"event:{blanks()}{kind}{blanks()}\n")
+        block = "".join(noise() + line for line in lines)
+        end = draw.choice(["\n", "\n\n", " \n", "\t \n\n", "\r\n"])
+        text += (block.replace("\n", "\r\n") if draw.random() < 0.3 else block) + end
+        if kind != "other":
+            events.append(("message", event_id, "\n".join(words)))
+    (tmp_path / "feed.txt").write_bytes(text.encode())
+    got = map(tuple, decode_sse(read_sse(spark, str(tmp_path))).collect())
+    assert sorted(got, key=repr) == sorted(events, key=repr)

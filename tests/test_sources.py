@@ -115,8 +115,8 @@ def test_large_event_text_is_split_between_blocks(spark, tmp_path):
 
 
 def test_job_param(spark):
-    spark.conf.set("spark.app.ratings_path", "/data/u.data ")
-    assert job_param(spark, "ratings_path") == "/data/u.data"
+    spark.conf.set("spark.app.ratings_path", "/data/ratings ")
+    assert job_param(spark, "ratings_path") == "/data/ratings"
     assert job_param(spark, "batch_id", "N/A") == "N/A"
     with pytest.raises(KeyError, match="spark.app.nothing"):
         job_param(spark, "nothing")

@@ -16,7 +16,6 @@ from millrace.streaming import (
     jdbc_batch_writer, kafka_sink, kafka_source, line_source, stream_to_console, stream_to_jdbc,
     stream_to_parquet,
 )
-from millrace.workspace import checkpoint_root, scratch_path
 
 ONCE = {"availableNow": True}
 
@@ -71,6 +70,24 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert run() == [(at(0, 0), at(0, 1), "a", 1), (at(0, 5), at(0, 6), "b", 2)]
 
 
+def test_batch_repeated_after_a_failure_is_written_once(spark, tmp_path):
+    """As if the driver was lost after the files were written and before the batch was committed."""
+    inbox, out, checkpoint = tmp_path / "inbox", str(tmp_path / "out"), tmp_path / "checkpoint"
+    put(spark, inbox, ("00:00:10", "a"), ("00:00:20", "a"), ("00:05:00", "b"))
+
+    def run():
+        counts = page_edit_counts(stream_parquet(spark, str(inbox), KAFKA_MESSAGE))
+        stream_to_parquet(counts, out, str(checkpoint), trigger=ONCE).awaitTermination()
+        return rows(flatten_window(spark.read.parquet(out)))
+
+    want = [(at(0, 0), at(0, 1), "a", 2)]
+    assert run() == want
+    last = max(int(f.name) for f in (checkpoint / "commits").iterdir() if f.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+    assert run() == want
+
+
 def test_only_counted_events_close_windows(spark, tmp_path):
     inbox, out = tmp_path / "inbox", str(tmp_path / "out")
     human = {"namespace": 0, "bot": False, "event_type": "edit", "minor": True}
@@ -251,12 +268,3 @@ def test_stream_to_jdbc_writes_flat_batches(spark, tmp_path, monkeypatch):
     )
     stream_to_jdbc(counts, "jdbc:x", "counts", str(tmp_path / "checkpoint"), ONCE).awaitTermination()
     assert rows(spark.read.parquet(out)) == [(at(0, 0), at(0, 1), "a", 1)]
-
-
-def test_folders_come_from_the_session(spark):
-    root = checkpoint_root(spark)
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert configured is None or root == configured
-    assert spark.sparkContext.getCheckpointDir() is not None
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert scratch_path(spark, "x").startswith(root.rstrip("/"))
