@@ -10,9 +10,9 @@ import time
 
 from pyspark.sql import SparkSession, Window, functions as F
 
-from queries import QUERIES
-from queries.edits import change_messages, edit_messages
-from queries.feed import capture
+from millrace_queries import QUERIES
+from millrace_queries.edits import change_messages, edit_messages
+from millrace_queries.feed import capture
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

@@ -18,6 +18,9 @@ def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     The group sizes come from a job of their own, which reads just the grouping columns.  As ``df``
     is read several times, store it first if it takes long to compute.
     """
+    if not partition_by:
+        whole = df.withColumn("_all", F.lit(0))
+        return rank_within(whole, ["_all"], order_by, ascending, name, max_group_rows).drop("_all")
     ascending = ascending or [True] * len(order_by)
     order = [F.asc(c) if up else F.desc(c) for c, up in zip(order_by, ascending, strict=True)]
     in_one_task = F.rank().over(Window.partitionBy(*partition_by).orderBy(*order)).cast("long")
@@ -31,8 +34,9 @@ def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     large = F.broadcast(stored(_more_than(max_group_rows, sizes, partition_by), "large-groups"))
     small_rows = df.join(large, _matches(df, large, partition_by), "left_anti")
     large_rows = df.join(large, _matches(df, large, partition_by), "left_semi")
+    in_parts = _rank_in_parts(large_rows, partition_by, order_by, order, max_group_rows)
     return small_rows.withColumn(name, in_one_task).unionByName(
-        _rank_in_parts(large_rows, partition_by, order_by, order, name, max_group_rows)
+        in_parts.withColumn(name, F.col("_rank")).drop("_rank")
     )
 
 
@@ -50,7 +54,8 @@ def _matches(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def _rank_in_parts(rows: DataFrame, keys: list[str], order_by: list[str], order: list[Column],
-                   name: str, limit: int) -> DataFrame:
+                   limit: int) -> DataFrame:
+    """``rows`` with their rank as ``_rank``."""
     values = rows.groupBy(*keys, *order_by).agg(F.count(F.lit(1)).alias("_rows"))
     # Each run samples its own cut points, so the parts are written once and then kept.
     parts = stored(
@@ -58,12 +63,12 @@ def _rank_in_parts(rows: DataFrame, keys: list[str], order_by: list[str], order:
         "order-values",
     )
     columns = keys + order_by
-    ranks = _value_ranks(parts, keys, order, name).select(*_renamed(columns), "_rows", name)
+    ranks = _value_ranks(parts, keys, order).select(*_renamed(columns), "_rows", "_rank")
 
     # Bounded like the large groups: at most (all rows / limit) values are that frequent.
     frequent = parts.where(F.col("_rows") > limit)
     if frequent.isEmpty():
-        return rows.join(ranks, _matches(rows, ranks, columns)).select(*rows.columns, name)
+        return rows.join(ranks, _matches(rows, ranks, columns)).select(*rows.columns, "_rank")
 
     # A value with that many rows would be one task of the join, so its rank is broadcast instead.
     ranks = stored(ranks, "ranks")
@@ -71,14 +76,14 @@ def _rank_in_parts(rows: DataFrame, keys: list[str], order_by: list[str], order:
     hot, other = F.broadcast(ranks.where(is_frequent)), ranks.where(~is_frequent)
     rest = rows.join(hot, _matches(rows, hot, columns), "left_anti")
     return (
-        rows.join(hot, _matches(rows, hot, columns)).select(*rows.columns, name)
+        rows.join(hot, _matches(rows, hot, columns)).select(*rows.columns, "_rank")
         .unionByName(
-            rest.join(other, _matches(rest, other, columns)).select(*rows.columns, name)
+            rest.join(other, _matches(rest, other, columns)).select(*rows.columns, "_rank")
         )
     )
 
 
-def _value_ranks(parts: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+def _value_ranks(parts: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Rank of each distinct order value of a group: one plus the rows that sort before it, which
     are those of the group's earlier parts and the earlier ones in its own part."""
     earlier_parts = (
@@ -96,5 +101,5 @@ def _value_ranks(parts: DataFrame, keys: list[str], order: list[Column], name: s
     )
     before = F.coalesce(F.sum("_rows").over(before_in_part), F.lit(0))
     return parts.join(F.broadcast(totals), _matches(parts, totals, [*keys, "_part"])).withColumn(
-        name, F.coalesce("_before_part", F.lit(0)) + before + 1
+        "_rank", F.coalesce("_before_part", F.lit(0)) + before + 1
     )

@@ -145,15 +145,19 @@ def human_edits(spark, sf_dir):
     return without_zone(human_article_edits(changes), "event_time")
 
 
-@query("windowed_counts", counts_sql("SELECT ts AS event_time, event_type FROM events", "6 hours", "event_type"))
+@query("windowed_counts", counts_sql(
+    "SELECT ts AS event_time, event_type FROM events", "6 hours", "event_type",
+))
 def window_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp"), "event_type")
     counts = windowed_counts(events, "event_type", time_column="ts", width="6 hours")
     return without_zone(flatten_window(counts), "window_start", "window_end")
 
 
-@query("windowed_edit_counts", counts_sql("SELECT ts AS event_time, event_type, value < 50 AS minor FROM events",
-                  "2 minutes", "event_type", counts=EDIT_COUNTS))
+@query("windowed_edit_counts", counts_sql(
+    "SELECT ts AS event_time, event_type, value < 50 AS minor FROM events", "2 minutes",
+    "event_type", counts=EDIT_COUNTS,
+))
 def window_edit_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp"), "event_type", (F.col("value") < 50).alias("minor")

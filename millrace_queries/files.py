@@ -36,13 +36,15 @@ def read_delimited_multichar(spark, sf_dir):
     return read_delimited(spark, rating_lines(spark, sf_dir, "::"), RATINGS, "::")
 
 
-@query("average_from_delimited", 'SELECT round(avg(l_quantity), 6) AS "avg(rating)" FROM lineitem')
+@query("average_from_delimited",
+       'SELECT round(avg(l_quantity), 6) AS "avg(rating)" FROM lineitem')
 def average_from_delimited(spark, sf_dir):
     ratings = read_delimited(spark, rating_lines(spark, sf_dir, "::"), RATINGS, "::")
     return rounded(global_average(ratings, "rating"), "avg(rating)")
 
 
-@query("read_delimited_prefix", "SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS movie_title FROM part")
+@query("read_delimited_prefix",
+       "SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS movie_title FROM part")
 def read_delimited_prefix(spark, sf_dir):
     """Six columns in the file, two in the schema."""
     part = table(spark, sf_dir, "part")
@@ -86,7 +88,8 @@ def read_csv_with_inferred_types(spark, sf_dir):
     return read_csv_inferred(spark, path).withColumn("p_partkey", F.col("p_partkey").cast("long"))
 
 
-@query("write_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query("write_csv",
+       "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def write_csv_in_files(spark, sf_dir):
     """Four files with the orders sorted by price across them."""
     path = scratch_path(spark, "csv")
@@ -96,7 +99,8 @@ def write_csv_in_files(spark, sf_dir):
     return read_delimited(spark, path, kept.schema, header=True)
 
 
-@query("write_parquet", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
+@query("write_parquet",
+       "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def write_parquet_plain(spark, sf_dir):
     path = scratch_path(spark, "parquet")
     write_parquet(

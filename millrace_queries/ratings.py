@@ -65,7 +65,8 @@ def enriched_items(spark, sf_dir):
     return rounded(enrich_with_title(items, titles(spark, sf_dir), "l_partkey", "p_partkey"))
 
 
-@query("top_rated", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+@query("top_rated",
+       "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def top_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return top_rated(orders, 20, by="o_totalprice", tie="o_orderkey")
@@ -77,12 +78,14 @@ def average_quantity(spark, sf_dir):
     return rounded(average, "avg_quantity")
 
 
-@query("count_by", 'SELECT l_partkey, count(*) AS "count" FROM lineitem GROUP BY l_partkey')
+@query("count_by",
+       'SELECT l_partkey, count(*) AS "count" FROM lineitem GROUP BY l_partkey')
 def count_by_part(spark, sf_dir):
     return count_by(table(spark, sf_dir, "lineitem"), "l_partkey")
 
 
-@query("count_by_few_keys", 'SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL')
+@query("count_by_few_keys",
+       'SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL')
 def count_by_flags(spark, sf_dir):
     """Few keys that each hold much of the table."""
     return count_by(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", name="n")

@@ -52,7 +52,10 @@ def stream_article_counts(spark, sf_dir):
     return without_zone(spark.read.parquet(path), "window_start", "window_end")
 
 
-@query("read_stream_output", f'SELECT * FROM ({PAGE_COUNTS}) ORDER BY window_start DESC, "count" DESC, page_title DESC LIMIT 10')
+@query("read_stream_output", f"""
+    SELECT * FROM ({PAGE_COUNTS})
+    ORDER BY window_start DESC, "count" DESC, page_title DESC LIMIT 10
+""")
 def stream_latest_pages(spark, sf_dir):
     """The ten latest and largest counts the stream has written, sorted by a nested field."""
     path = streamed(spark, edit_messages(spark, sf_dir), page_edit_counts)

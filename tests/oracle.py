@@ -50,7 +50,7 @@ def difference(spark, connection, sf_dir, name, run, sql):
 def main(sf_dir, names):
     from pyspark.sql import SparkSession
 
-    from queries import ORACLE, QUERIES
+    from millrace_queries import ORACLE, QUERIES
 
     spark = (
         SparkSession.builder.master("local[8]")

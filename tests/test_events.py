@@ -125,7 +125,8 @@ def test_unknown_minor_is_neither(spark):
 
 
 def test_rows_without_time_are_not_counted(spark):
-    df = spark.createDataFrame([(None, "p", True)], "event_time timestamp, page_title string, minor boolean")
+    schema = "event_time timestamp, page_title string, minor boolean"
+    df = spark.createDataFrame([(None, "p", True)], schema)
     assert windowed_counts(df, "page_title").count() == 0
     assert windowed_edit_counts(df).count() == 0
 

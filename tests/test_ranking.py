@@ -60,6 +60,17 @@ def test_copies_of_one_row_hold_a_third_of_all(spark):
     assert Counter(rows(got)) == Counter(brute_force(values))
 
 
+@pytest.mark.parametrize("limit", [20, 1000])
+def test_whole_table_as_one_group_and_a_column_replaced(spark, limit):
+    values = [(i, None, i % 9) for i in range(90)]
+    df = spark.createDataFrame(values, SCHEMA)
+    ranked = rank_within(df, [], ["v"], name="g", max_group_rows=limit)
+    assert ranked.columns == ["id", "g", "v"]
+    assert rows(ranked) == rows(
+        spark.createDataFrame([(i, 1 + 10 * (i % 9), i % 9) for i in range(90)], "a int, b long, c int")
+    )
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert rank_within(df, ["g"], ["v"]).collect() == []
