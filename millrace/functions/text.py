@@ -16,7 +16,8 @@ def strip(text: Column) -> Column:
 
 
 def sse_lines(block: Column) -> Column:
-    return F.transform(F.split(block, "\n"), strip)
+    """The lines of a block without the white space before them."""
+    return F.transform(F.split(block, "\n"), lambda line: F.ltrim(line, F.lit(WHITESPACE)))
 
 
 def sse_values(lines: Column, field: str) -> Column:
