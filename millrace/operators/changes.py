@@ -21,10 +21,10 @@ _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 def decode_sse(blocks: DataFrame, column: str = "value", event: str = "message") -> DataFrame:
     """Server-sent event text to ``event, id, data``, one row per event of the wanted type.
 
-    ``blocks`` holds text cut at empty lines (``sources.read_sse``); lines of white space only, as
-    CRLF files have them, end an event too.  Several ``data:`` lines are joined by newlines, the last
+    ``blocks`` holds text of one or more events (``sources.read_sse``).  A line of white space only,
+    as CRLF files have them, ends an event.  Several ``data:`` lines are joined by newlines, the last
     ``event:`` and ``id:`` line count, the type defaults to ``message``, other lines are ignored and
-    an event without data yields nothing.  The last block of a file is decoded even with no empty
+    an event without data yields nothing.  The last event of a file is decoded even with no blank
     line after it; one that is split over two files cannot be rejoined.
     """
     def decoded_lines(lines):

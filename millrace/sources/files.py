@@ -3,9 +3,11 @@
 Paths are handed to Spark as they are, so any configured file system works.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import AtomicType, StructType
 
+from ..functions import strip
+
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType,
                    delimiter: str = ",", date_format: str | None = None,
@@ -39,19 +41,53 @@ def read_json(spark: SparkSession, path: str | list[str],
     return reader.json(path)
 
 
-def read_sse(spark: SparkSession, path: str | list[str], separator: str = "\n\n") -> DataFrame:
-    """Captured event streams as one row of text per block, for ``operators.decode_sse``.
+def read_sse(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Captured event streams as one row of text per event, for ``operators.decode_sse``.
 
-    Files are split between blocks, so one large file is read by many tasks.  Give
-    ``"\\r\\n\\r\\n"`` for CRLF files, which hold no ``"\\n\\n"`` and would be one block per file.
+    Files are read by line, so one large file is read by many tasks, and the lines are put together
+    again up to each blank one.  That is done per split of a file; only the first and the last piece
+    of a split may go on in the next one and are joined in a second step.  (A reader that cuts at two
+    newlines in a row would be simpler, but where a third one follows and a split ends among them it
+    gives the next event twice.)
     """
-    return spark.read.text(path, lineSep=separator)
-
-
-def stream_sse(spark: SparkSession, path: str, separator: str = "\n\n",
-               **options) -> DataFrame:
-    """As ``read_sse``, for a directory that captured files are added to."""
-    return spark.readStream.options(**options).text(path, lineSep=separator)
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+    in_split = Window.partitionBy("file", "split")
+    # A blank line is the first of its piece, so only piece 0 lacks one.
+    blanks = F.count_if(strip(F.col("value")) == "")
+    pieces = (
+        lines.withColumn("piece", blanks.over(in_split.orderBy("at")))
+        .withColumn("last", blanks.over(in_split))
+        .groupBy("file", "split", "piece", "last")
+        .agg(_joined("at", "value"))
+    )
+    inside = (F.col("piece") > 0) & (F.col("piece") < F.col("last"))
+    in_file = Window.partitionBy("file").orderBy("split", "piece")
+    over_splits = (
+        pieces.where(~inside)
+        .withColumn("event", F.count_if(F.col("piece") > 0).over(in_file))
+        .groupBy("file", "event")
+        .agg(_joined("split", "piece", "value"))
+    )
+    return pieces.where(inside).select("value").unionByName(over_splits.select("value"))
+
+
+def _joined(*columns: str) -> Column:
+    """The last of the columns, sorted by the others, as lines of one text."""
+    rows = F.array_sort(F.collect_list(F.struct(*columns)))
+    return F.array_join(F.transform(rows, lambda row: row["value"]), "\n").alias("value")
+
+
+def stream_sse(spark: SparkSession, path: str, **options) -> DataFrame:
+    """As ``read_sse``, for a directory that captured files are added to.
+
+    Each file is one row of text, so they should be closed at a moderate size.
+    """
+    return spark.readStream.options(**options).text(path, wholetext=True)
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: StructType | None = None,

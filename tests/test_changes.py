@@ -2,6 +2,7 @@ import json
 import random
 from datetime import datetime
 
+import pytest
 from conftest import rows
 
 from millrace.operators import decode_sse, normalise_recentchange
@@ -53,9 +54,8 @@ def test_captured_files(spark, tmp_path):
     want = [("message", "1", "a"), ("message", "2", "b"), ("message", "3", "c"),
             ("message", "4", "d\ne"), ("message", "5", "f")]
     assert rows(decode_sse(read_sse(spark, str(tmp_path)))) == want
-    crlf = read_sse(spark, str(tmp_path / "b.txt"), "\r\n\r\n")
-    assert crlf.count() == 2
-    assert rows(decode_sse(crlf)) == want[3:]
+    whole = spark.read.text(str(tmp_path), wholetext=True)
+    assert whole.count() == 2 and rows(decode_sse(whole)) == want
 
 
 def test_bytes_that_are_no_text_are_replaced(spark, tmp_path):
@@ -135,10 +135,11 @@ def test_messages_from_text(spark):
     assert by_key[None]["page_title"] == "t"
 
 
-def test_random_events_survive_their_notation(spark, tmp_path):
+@pytest.mark.parametrize("split_bytes", [50, 997, 1 << 20])
+def test_random_events_survive_their_notation(spark, tmp_path, split_bytes):
     """Events written with random line ends, blanks, comments and split data are decoded as they
-    were."""
-    draw = random.Random(7)
+    were, wherever their file is split."""
+    draw = random.Random(split_bytes)
 
     def noise():
         return draw.choice(["", "", ": ping\n", "retry: 10\n", "unknown line\n", ":\n"])
@@ -147,7 +148,7 @@ def test_random_events_survive_their_notation(spark, tmp_path):
         return draw.choice(["", " ", "\t", "  "])
 
     events, text = [], ""
-    for number in range(500):
+    for number in range(300):
         words = ["".join(draw.choices("ab:é{}\" 0", k=draw.randint(1, 12))).strip() or "x"
                  for _ in range(draw.randint(1, 4))]
         event_id = str(number) if draw.random() < 0.8 else None
@@ -158,10 +159,16 @@ def test_random_events_survive_their_notation(spark, tmp_path):
         if kind is not None:
             lines.insert(draw.randint(0, len(lines)), f"event:{blanks()}{kind}{blanks()}\n")
         block = "".join(noise() + line for line in lines)
-        end = draw.choice(["\n", "\n\n", " \n", "\t \n\n", "\r\n"])
+        end = draw.choice(["\n", "\n\n", "\n\n\n", " \n", "\t \n\n", "\r\n"])
         text += (block.replace("\n", "\r\n") if draw.random() < 0.3 else block) + end
         if kind != "other":
             events.append(("message", event_id, "\n".join(words)))
     (tmp_path / "feed.txt").write_bytes(text.encode())
-    got = map(tuple, decode_sse(read_sse(spark, str(tmp_path))).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = [tuple(row) for row in decode_sse(read_sse(spark, str(tmp_path))).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted(got, key=repr) == sorted(events, key=repr)
