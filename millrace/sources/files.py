@@ -57,15 +57,17 @@ def read_sse(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "value",
     )
     in_split = Window.partitionBy("file", "split")
+    so_far = in_split.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # A blank line is the first of its piece, so only piece 0 lacks one.
     blanks = F.count_if(strip(F.col("value")) == "")
     pieces = (
-        lines.withColumn("piece", blanks.over(in_split.orderBy("at")))
+        lines.withColumn("piece", blanks.over(so_far))
         .withColumn("last", blanks.over(in_split))
         .groupBy("file", "split", "piece", "last")
         .agg(_joined("at", "value"))
     )
     inside = (F.col("piece") > 0) & (F.col("piece") < F.col("last"))
+    # At most two pieces per split, so even a huge file leaves little to put in order here.
     in_file = Window.partitionBy("file").orderBy("split", "piece")
     over_splits = (
         pieces.where(~inside)
