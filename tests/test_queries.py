@@ -6,9 +6,9 @@ import pytest
 from oracle import connect, difference
 
 import __spark_entry__ as entry_points
+from millrace_queries import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
@@ -28,3 +28,5 @@ def test_query(spark, connection, name):
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["l_partkey", "cnt", "avg", "p_partkey", "p_name"]
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
