@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .batches import table
+from .batches import in_fold, table
+from .language import fit_languages, languages
+from .licenses import license_scan, license_summary
+from .packing import pack
 from .pieces import piece_digests
 from .quality import fit_quality, quality_rules
+from .urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +23,14 @@ def query(fn):
     return fn
 
 
+def with_sql(sql: str):
+    def register(fn):
+        ORACLE[fn.__name__] = sql
+        return query(fn)
+
+    return register
+
+
 def vocabulary(name: str) -> str:
     """The path of a public vocabulary file on this machine."""
     import public_tokenizers
@@ -26,6 +38,58 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_packing(spark, sf_dir):
+    from public_tokenizers import PATTERN
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                vocabulary("byte_bpe_50k.tiktoken"), PATTERN)
+
+
+@with_sql(r"""
+    WITH parts AS (
+        SELECT page_id,
+               translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+        FROM pages
+    ), listed(rule_host, rule_path, rule_verdict) AS (
+        VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+               ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+    ), judged AS (
+        SELECT *, CASE
+            WHEN regexp_matches(host, '(^|[.-])(pills|spam|casino|porn)([.-]|$)')
+              OR regexp_matches(host, '^(.*\.)?ads?\.[^.]+.*\.')
+              OR regexp_matches(path, '/(login|signin)([./]|$)')
+              OR regexp_matches(path, '/cart/checkout([./]|$)')
+            THEN 'block' ELSE 'allow' END AS method,
+            (SELECT max_by({'rule': rule_host || rule_path, 'verdict': rule_verdict},
+                           length(rule_host || rule_path))
+             FROM listed
+             WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+               AND starts_with(path, rule_path)) AS best
+        FROM parts
+    )
+    SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, method) AS verdict
+    FROM judged
+""")
+def op5_urls(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages")).drop("fits")
+
+
+@query
+def op6_licenses(spark, sf_dir):
+    return license_summary(license_scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 4, 2)
+    found = languages(docs, fit_languages(docs, learn=~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_pieces(spark, sf_dir):
     return piece_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
