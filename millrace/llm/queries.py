@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .batches import in_fold, table
+from .embeddings import near_vectors
 from .language import fit_languages, languages
 from .licenses import license_scan, license_summary
 from .packing import pack
@@ -46,6 +47,11 @@ def op1_packing(spark, sf_dir):
                 vocabulary("byte_bpe_50k.tiktoken"), PATTERN)
 
 
+@query
+def op4_embeddings(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @with_sql(r"""
     WITH parts AS (
         SELECT page_id,
