@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .batches import in_fold, table
 from .embeddings import near_vectors
+from .jaccard import jaccard_components
 from .language import fit_languages, languages
 from .licenses import license_scan, license_summary
 from .packing import pack
@@ -47,6 +48,11 @@ def op1_packing(spark, sf_dir):
                 vocabulary("byte_bpe_50k.tiktoken"), PATTERN)
 
 
+@query
+def op3_jaccard(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90)
+
+
 @query
 def op4_embeddings(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
