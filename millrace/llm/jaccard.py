@@ -1,10 +1,11 @@
 """An exact Jaccard join of documents as sets of word n-grams, by pivots and regions.
 
 With Jaccard distance 1 - J the documents are points of a metric space, and two link if they lie no
-farther apart than a radius.  Two that link share one of the first few shingles of both, in any
-order of all shingles; here common shingles come last.  The documents with such a shingle form a
-cell; its pivot is the one with the smallest hash, and the cells of a pivot together are its region.
-So each pair that links lies in at least one region, whichever documents are copied to several.
+farther apart than a radius.  Two that link share several of the first few shingles of both, in any
+order of all shingles; here common shingles come last.  A document of which too few of the first
+shingles are found anywhere else is alone.  The others with such a shingle form a cell; its pivot is
+the one with the smallest hash, and the cells of a pivot together are its region.  So each pair that
+links lies in at least one region, whichever documents are copied to several.
 
 A region of moderate size is joined directly.  A larger one takes further pivots.  Documents within
 the radius of a pivot link to it and need no comparing with each other; the rest goes into blocks by
@@ -47,6 +48,8 @@ PLACES = 1 << 22
 COMMON = 16
 #: Shingles that a task counts at a time.
 COUNTED = 4_000_000
+#: One shingle more is looked at for so many that may be missing.
+SPARE = 4
 #: Most ids sent to all executors; beyond it the join is left to the planner.
 SENT_IDS = 2_000_000
 
@@ -100,6 +103,15 @@ def missing(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den)
 
 
+def spare(n: int, num: int, den: int) -> int:
+    """How many shingles are looked at beyond the first that must be shared.
+
+    Of the first ``missing + 1 + spare`` of two documents that link, at least ``spare + 1`` are
+    shared, with the ``spare`` of the one whose last comes earlier in the order.
+    """
+    return missing(n, num, den) // SPARE
+
+
 def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
     """A level for each place of a fixed table: how common the shingles are that fall there.
 
@@ -150,19 +162,23 @@ def describe(texts: DataFrame, words: int, num: int, den: int, kind: str) -> Dat
     level = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, marks, keys = [], [], []
+        sizes, marks, keys, least = [], [], [], []
         for text in texts_of(batch.column(1)):
             own = shingles(text, words)
             n = len(own)
             sizes.append(n)
             marks.append(mark(own) if n else None)
-            keys.append(first_shingles(own, missing(n, num, den) + 1, level.value).view(np.int64)
-                        if n else None)
+            look = missing(n, num, den) + 1 + spare(n, num, den)
+            keys.append(first_shingles(own, look, level.value).view(np.int64) if n else None)
+            # A partner may be as small as this, and then needs the least in common.
+            least.append(spare(-(-num * n // den), num, den) + 1)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "mark", "keys"])
+             pa.array(keys, pa.list_(pa.int64())), pa.array(least, pa.int64())],
+            ["id", "n", "mark", "keys", "least"])
 
-    return map_batches(texts, run, f"id {kind}, n bigint, mark binary, keys array<bigint>")
+    return map_batches(texts, run, f"id {kind}, n bigint, mark binary, keys array<bigint>, "
+                                   "least bigint")
 
 
 def mark(own: np.ndarray) -> bytes:
@@ -410,7 +426,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     kind = texts.schema["id"].dataType.simpleString()
     described = stored(describe(texts, words, num, den, kind), "described")
     points = stored(described.where("n > 0 and id is not null").groupBy("mark").agg(
-        F.min(F.struct("id", "n", "keys")).alias("point"), F.count("*").alias("copies"))
+        F.min(F.struct("id", "n", "least", "keys")).alias("point"), F.count("*").alias("copies"))
         .select("mark", "point.*", "copies"), "points")
     links = find_links(texts, points, words, num, den, kind)
     component = components(links, "one", "other").withColumnRenamed("node", "id")
@@ -426,10 +442,15 @@ def find_links(texts: DataFrame, points: DataFrame, words: int, num: int, den: i
                kind: str) -> DataFrame:
     """Links that connect all points of each component (one, other)."""
     postings = points.select("id", F.explode("keys").alias("key"))
-    cells = stored(postings.groupBy("key").agg(
+    twice = stored(postings.groupBy("key").count().where("count > 1").select("key"), "twice")
+    shared = stored(postings.join(twice, "key"), "shared")
+    company = shared.groupBy("id").count().join(points.select("id", "least"), "id") \
+        .where("count >= least").select("id")
+    close = stored(shared.join(company, "id"), "close")
+    cells = stored(close.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("id").alias("rank"), "id"))["id"].alias("region"),
         F.count("*").alias("n")).where("n > 1").drop("n"), "cells")
-    regions = stored(postings.join(cells, "key").select("region", "id").distinct(), "regions")
+    regions = stored(close.join(cells, "key").select("region", "id").distinct(), "regions")
     size = points.select("id", "n")
     weights = stored(regions.join(size, "id").groupBy("region").agg(
         F.count("*").alias("docs"), F.sum("n").alias("shingles")), "weights")
