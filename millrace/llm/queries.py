@@ -14,6 +14,7 @@ from .licenses import license_scan, license_summary
 from .packing import pack
 from .pieces import piece_digests
 from .quality import fit_quality, quality_rules
+from .toxicity import fit_toxicity, toxicity
 from .urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +95,14 @@ def op6_licenses(spark, sf_dir):
     return license_summary(license_scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 5, 0)
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_languages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
