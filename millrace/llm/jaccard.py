@@ -7,7 +7,8 @@ shingles are found anywhere else is alone.  The others with such a shingle form
 the one with the smallest hash, and the cells of a pivot together are its region.  So each pair that
 links lies in at least one region, whichever documents are copied to several.
 
-A region of moderate size is joined directly.  A larger one takes further pivots.  Documents within
+A region of moderate size is joined directly: first by a fixed part of all shingles, in which two
+sets differ no more than in all, then what may link by whole sets.  A larger one takes further pivots.  Documents within
 the radius of a pivot link to it and need no comparing with each other; the rest goes into blocks by
 nearest pivot, and the triangle inequality limits which blocks can hold a link: their distances to
 each pivot must come within the radius of each other.  Blocks of documents that are connected
@@ -29,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.workspace import stored
 
@@ -112,33 +113,48 @@ def spare(n: int, num: int, den: int) -> int:
     return missing(n, num, den) // SPARE
 
 
-def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
-    """A level for each place of a fixed table: how common the shingles are that fall there.
+def describe(texts: DataFrame, words: int, kind: str) -> DataFrame:
+    """Size and hash of each document's set, and in rows with a ``key`` how often tasks saw it.
 
     Every task counts the shingles of all its documents and passes on those it sees twice.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
+        waiting, size, key_type = [], 0, None
 
         def counted() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(waiting), return_counts=True)
-            often = n > 1
-            return pa.record_batch({"key": key[often].view(np.int64),
-                                    "n": n[often].astype(np.int64)})
+            key, n = key[n > 1].view(np.int64), n[n > 1].astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(key), key_type), pa.array(n), pa.nulls(len(key), pa.binary()),
+                 pa.array(key)], names)
 
         for batch in batches:
-            for text in texts_of(batch.column(0)):
-                waiting.append(shingles(text, words))
-                size += len(waiting[-1])
+            key_type, sizes, marks = batch.schema.field(0).type, [], []
+            for text in texts_of(batch.column(1)):
+                own = shingles(text, words)
+                sizes.append(len(own))
+                marks.append(mark(own) if len(own) else None)
+                waiting.append(own)
+                size += len(own)
                 if size > COUNTED:
                     yield counted()
                     waiting, size = [], 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
+                 pa.nulls(batch.num_rows, pa.int64())], names)
         if waiting:
             yield counted()
 
-    seen = texts.select("text").mapInArrow(run, "key bigint, n bigint")
+    names = ["id", "n", "mark", "key"]
+    return stored(texts.mapInArrow(run, f"id {kind}, n bigint, mark binary, key bigint"),
+                  "described")
+
+
+def common_shingles(described: DataFrame) -> np.ndarray:
+    """A level for each place of a fixed table: how common the shingles are that fall there."""
     place = F.col("key").bitwiseAND(F.lit(PLACES - 1)).alias("place")
-    levels = seen.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON) \
+    levels = described.where("key is not null").groupBy("key").agg(F.sum("n").alias("n")) \
+        .where(F.col("n") >= COMMON) \
         .select(place, F.floor(F.log2("n")).cast("int").alias("level")) \
         .groupBy("place").agg(F.max("level").alias("level"))
     # At most one small row for each place of the table, whatever the corpus.
@@ -157,28 +173,25 @@ def first_shingles(own: np.ndarray, count: int, level: np.ndarray) -> np.ndarray
     return own[np.argsort(levels, kind="stable")[:count]]
 
 
-def describe(texts: DataFrame, words: int, num: int, den: int, kind: str) -> DataFrame:
-    """For each document the size and hash of its set and its first shingles."""
-    level = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
+def first_of_each(texts: DataFrame, level: np.ndarray, words: int, num: int, den: int,
+                  kind: str) -> DataFrame:
+    """The first shingles of each document (id, key), and whether they are known to be common."""
+    shipped = texts.sparkSession.sparkContext.broadcast(level)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, marks, keys, least = [], [], [], []
+        keys, counts = [np.empty(0, dtype=np.uint64)], []
         for text in texts_of(batch.column(1)):
             own = shingles(text, words)
-            n = len(own)
-            sizes.append(n)
-            marks.append(mark(own) if n else None)
-            look = missing(n, num, den) + 1 + spare(n, num, den)
-            keys.append(first_shingles(own, look, level.value).view(np.int64) if n else None)
-            # A partner may be as small as this, and then needs the least in common.
-            least.append(spare(-(-num * n // den), num, den) + 1)
+            look = missing(len(own), num, den) + 1 + spare(len(own), num, den)
+            keys.append(first_shingles(own, look, shipped.value))
+            counts.append(len(keys[-1]))
+        key = np.concatenate(keys)
+        take = np.repeat(np.arange(batch.num_rows), counts)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64())), pa.array(least, pa.int64())],
-            ["id", "n", "mark", "keys", "least"])
+            [batch.column(0).take(pa.array(take)), pa.array(key.view(np.int64)),
+             pa.array(shipped.value[key & np.uint64(PLACES - 1)] > 0)], ["id", "key", "common"])
 
-    return map_batches(texts, run, f"id {kind}, n bigint, mark binary, keys array<bigint>, "
-                                   "least bigint")
+    return map_batches(texts, run, f"id {kind}, key bigint, common boolean")
 
 
 def mark(own: np.ndarray) -> bytes:
@@ -190,22 +203,28 @@ def only_ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(SENT_IDS + 1).count() <= SENT_IDS else ids
 
 
-def fetch_sets(texts: DataFrame, points: DataFrame, words: int, kind: str) -> DataFrame:
-    """The sets of some points, from their texts."""
+def fetch_sets(texts: DataFrame, points: DataFrame, words: int, kind: str,
+               share: float = 1.0) -> DataFrame:
+    """The sets of some points (id, mark), from their texts; of each the lowest ``share`` of all
+    hashes, and the size of the whole."""
+    below = np.uint64(min(int(share * 2.0 ** 64), 2 ** 64 - 1))
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        take, sets = [], []
+        take, sizes, sets = [], [], []
         for at, (text, expected) in enumerate(zip(texts_of(batch.column(1)),
                                                   batch.column(2).to_pylist())):
             own = shingles(text, words)
             if mark(own) == expected:
                 take.append(at)
-                sets.append(own.view(np.int64))
+                sizes.append(len(own))
+                part = own if share >= 1 else own[:np.searchsorted(own, below)]
+                sets.append(part.view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(take, pa.int64())),
-             pa.array(sets, pa.list_(pa.int64()))], ["id", "own"])
+            [batch.column(0).take(pa.array(take, pa.int64())), pa.array(sizes, pa.int64()),
+             pa.array(sets, pa.list_(pa.int64()))], ["id", "n", "own"])
 
     wanted = texts.join(only_ids(points), "id").select("id", "text", "mark")
-    return stored(map_batches(wanted, run, f"id {kind}, own array<bigint>"), "sets")
+    return stored(map_batches(wanted, run, f"id {kind}, n bigint, own array<bigint>"), "sets")
 
 
 class Sets:
@@ -284,6 +303,29 @@ def group_edges(key: pa.ChunkedArray) -> list[int]:
     return [0, *(np.flatnonzero(changes.to_numpy()) + 1).tolist(), len(key)]
 
 
+def possible(regions: DataFrame, num: int, den: int, kind: str) -> DataFrame:
+    """The members of regions (region, id, n, own) that may link, going by a part of their sets.
+
+    What two sets do not share of a part of all shingles is not more than of all of them.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        sets, n = Sets(table["own"]), table["n"].to_numpy()
+        edges, keep = group_edges(table.column(0)), np.zeros(len(n), dtype=bool)
+        for low, high in zip(edges, edges[1:]):
+            size, whole = sets.sizes[low:high], n[low:high]
+            apart = size[:, None] + size[None, :] - 2 * sets.overlaps(low, high)
+            may = (apart * (num + den) <= (whole[:, None] + whole[None, :]) * (den - num)) & (
+                den * whole[:, None] >= num * whole[None, :]) & (
+                den * whole[None, :] >= num * whole[:, None])
+            np.fill_diagonal(may, False)
+            keep[low:high] = may.any(axis=1)
+        return table.select(["region", "id"]).filter(pa.array(keep))
+
+    return stored(regions.select("region", "id", "n", "own").repartition("region")
+                  .sortWithinPartitions("region")
+                  .mapInArrow(grouped(run), f"region {kind}, id {kind}"), "possible")
+
+
 def join_regions(regions: DataFrame, num: int, den: int, kind: str) -> DataFrame:
     """Links inside regions (region, id, own), each joined by one task."""
     def run(table: pa.Table) -> pa.Table | None:
@@ -315,9 +357,9 @@ def split_region(members: DataFrame, sets: DataFrame, num: int, den: int, kind:
     slot = F.pmod(F.xxhash64("id", F.lit("slot")), F.lit(PIVOTS)).cast("int").alias("slot")
     chosen = members.groupBy("region", slot).agg(
         F.min(F.struct(F.xxhash64("id").alias("rank"), "id"))["id"].alias("pivot"))
-    pivots = chosen.join(sets.withColumnRenamed("id", "pivot"), "pivot").groupBy("region").agg(
+    pivots = chosen.join(sets.select(F.col("id").alias("pivot"), "own"), "pivot").groupBy("region").agg(
         F.sort_array(F.collect_list(F.struct("slot", "pivot", "own"))).alias("pivots"))
-    dealt = join_salted(members.join(sets, "id"), stored(pivots, "pivots"), ["region"],
+    dealt = join_salted(members.join(sets.drop("n"), "id"), stored(pivots, "pivots"), ["region"],
                         F.col("id")).select("region", "id", "own", "pivots")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -394,7 +436,7 @@ def join_blocks(placed: DataFrame, sets: DataFrame, known: DataFrame, num: int,
                  F.col("second").alias("block"))))).alias("s")).select(
                      "region", "task", "s.side", "s.block.*"), "pairs")
     rows = celled.drop("distances").join(sides, ["region", "inside", "home", "cell"]) \
-        .join(sets, "id").select("task", "side", "id", "own")
+        .join(sets.drop("n"), "id").select("task", "side", "id", "own")
 
     def run(table: pa.Table) -> pa.Table | None:
         own, side = Sets(table["own"]), table["side"].to_numpy()
@@ -424,11 +466,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     """
     texts = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    described = stored(describe(texts, words, num, den, kind), "described")
+    both = describe(texts, words, kind)
+    described = both.where("key is null").drop("key")
     points = stored(described.where("n > 0 and id is not null").groupBy("mark").agg(
-        F.min(F.struct("id", "n", "least", "keys")).alias("point"), F.count("*").alias("copies"))
-        .select("mark", "point.*", "copies"), "points")
-    links = find_links(texts, points, words, num, den, kind)
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("copies")), "points")
+    copied = points.where("copies > 1").select("mark", F.col("id").alias("first"))
+    others = stored(join_salted(described, copied, ["mark"], F.col("id"))
+                    .where("id <> first").select("id").distinct(), "copies")
+    distinct = texts.where("id is not null").join(only_ids(others), "id", "left_anti")
+    first = first_of_each(distinct, common_shingles(both), words, num, den, kind)
+    links = find_links(distinct, first, points, words, num, den, kind)
     component = components(links, "one", "other").withColumnRenamed("node", "id")
     # What differs from a document without links.
     noted = points.join(component, "id", "left").where("copies > 1 or component is not null") \
@@ -438,31 +485,42 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
                          F.coalesce("component", "id").alias("component_id"))
 
 
-def find_links(texts: DataFrame, points: DataFrame, words: int, num: int, den: int,
-               kind: str) -> DataFrame:
+def find_links(texts: DataFrame, first: DataFrame, points: DataFrame, words: int, num: int,
+               den: int, kind: str) -> DataFrame:
     """Links that connect all points of each component (one, other)."""
-    postings = points.select("id", F.explode("keys").alias("key"))
-    twice = stored(postings.groupBy("key").count().where("count > 1").select("key"), "twice")
-    shared = stored(postings.join(twice, "key"), "shared")
-    company = shared.groupBy("id").count().join(points.select("id", "least"), "id") \
+    # Common shingles are shared, without counting; the others are in few documents each.
+    alike = Window.partitionBy("key", F.when(F.col("common"), F.col("id")))
+    shared = stored(first.withColumn("n", F.count("*").over(alike))
+                    .where("common or n > 1").select("id", "key"), "shared")
+    # The smallest partner that a document of n shingles can have needs the least in common.
+    partner = f"(({num} * n + {den - 1}) div {den})"
+    may_lack = F.expr(f"{partner} - ({num} * {partner} + {den - 1}) div {den}")
+    company = shared.groupBy("id").count().join(
+        points.select("id", (F.floor(may_lack / SPARE) + 1).alias("least")), "id") \
         .where("count >= least").select("id")
     close = stored(shared.join(company, "id"), "close")
     cells = stored(close.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("id").alias("rank"), "id"))["id"].alias("region"),
         F.count("*").alias("n")).where("n > 1").drop("n"), "cells")
     regions = stored(close.join(cells, "key").select("region", "id").distinct(), "regions")
-    size = points.select("id", "n")
-    weights = stored(regions.join(size, "id").groupBy("region").agg(
+    weights = stored(regions.join(points.select("id", "n"), "id").groupBy("region").agg(
         F.count("*").alias("docs"), F.sum("n").alias("shingles")), "weights")
     large = (F.col("docs") > REGION_DOCS) | (F.col("shingles") > REGION_SHINGLES)
-    alive = regions.select("id").distinct().join(points.select("id", "mark"), "id")
-    sets = fetch_sets(texts, stored(alive, "alive"), words, kind)
-    direct = regions.join(weights.where(~large).select("region"), "region").join(sets, "id")
-    found = stored(join_regions(direct, num, den, kind), "near")
-    big = weights.where(large).select("region")
+    big = stored(weights.where(large).select("region"), "large")
+    marks = points.select("id", "mark")
+
+    def sets_of(members: DataFrame, share: float = 1.0) -> DataFrame:
+        ids = stored(members.select("id").distinct().join(marks, "id"), "wanted")
+        return fetch_sets(texts, ids, words, kind, share)
+
+    small = stored(regions.join(weights.where(~large).select("region"), "region"), "moderate")
+    part = sets_of(small, min(1.0, 2.4 * (den - num) / (den + num)))
+    direct = possible(small.join(part, "id"), num, den, kind)
+    members = stored(regions.join(big, "region"), "members")
+    sets = sets_of(direct.unionByName(members))
+    found = stored(join_regions(direct.join(sets, "id"), num, den, kind), "near")
     if big.isEmpty():
         return found
-    members = stored(regions.join(F.broadcast(big) if few(big) else big, "region"), "members")
     placed = split_region(members, sets, num, den, kind)
     to_pivots = placed.select(F.col("id").alias("one"), F.explode("linked").alias("other"))
     known = stored(found.unionByName(to_pivots), "near")
@@ -470,10 +528,6 @@ def find_links(texts: DataFrame, points: DataFrame, words: int, num: int, den: i
         placed, sets, components(known, "one", "other"), num, den, kind))
 
 
-def few(ids: DataFrame) -> bool:
-    return ids.limit(SENT_IDS + 1).count() <= SENT_IDS
-
-
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` but for those linked to a document with a smaller id.
