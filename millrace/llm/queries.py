@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .batches import in_fold, table
 from .embeddings import near_vectors
@@ -16,6 +16,7 @@ from .pieces import piece_digests
 from .quality import fit_quality, quality_rules
 from .toxicity import fit_toxicity, toxicity
 from .urls import judge_urls
+from .wrappers import main_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,6 +50,12 @@ def op1_packing(spark, sf_dir):
                 vocabulary("byte_bpe_50k.tiktoken"), PATTERN)
 
 
+@query
+def op2_html(spark, sf_dir):
+    return main_texts(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op3_jaccard(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90)
