@@ -5,14 +5,15 @@ farther apart than a radius.  Two that link share several of the first few shing
 order of all shingles; here common shingles come last.  A document of which too few of the first
 shingles are found anywhere else is alone.  The others with such a shingle form a cell; its pivot is
 the one with the smallest hash, and the cells of a pivot together are its region.  So each pair that
-links lies in at least one region, whichever documents are copied to several.
+links lies in at least one region; documents near a border are copied to several.
 
-A region of moderate size is joined directly: first by a fixed part of all shingles, in which two
-sets differ no more than in all, then what may link by whole sets.  A larger one takes further pivots.  Documents within
-the radius of a pivot link to it and need no comparing with each other; the rest goes into blocks by
-nearest pivot, and the triangle inequality limits which blocks can hold a link: their distances to
-each pivot must come within the radius of each other.  Blocks of documents that are connected
-already are not compared with each other, so the work that remains is with those that are not.
+A region is first looked at with a fixed part of all shingles, in which two sets differ no more than
+in all.  What may still link, over all regions, is joined again by whole sets.  If it is of moderate
+size one task does so.  A larger region takes further pivots: documents within the radius of a pivot
+link to it and need no comparing with each other; the rest goes into blocks by nearest pivot, and
+the triangle inequality limits which blocks can hold a link, as their distances to each pivot must
+come within the radius of each other.  Blocks of documents that are connected already are not
+compared with each other, so the work that remains is with those that are not.
 
 Nothing is sampled: the order of the shingles is a hint that changes the cost, not the result.
 Copies with equal sets are one point.  A shingle is its 64-bit hash and a set its 128-bit hash.
@@ -40,16 +41,16 @@ from .graph import components, join_salted
 
 #: Documents, and shingles in all, that a task joins directly; documents of a block.
 REGION_DOCS = 1024
-REGION_SHINGLES = 4_000_000
+REGION_SHINGLES = 1_500_000
 BLOCK_DOCS = 768
 #: Further pivots of a large region.
 PIVOTS = 8
 #: Places of the table of common shingles, and from how many sightings on a shingle is common.
-PLACES = 1 << 22
-COMMON = 16
+PLACES = 1 << 23
+COMMON = 4
 #: Shingles that a task counts at a time.
-COUNTED = 4_000_000
-#: One shingle more is looked at for so many that may be missing.
+COUNTED = 2_000_000
+#: One shingle more is looked at for so many that a document has.
 SPARE = 4
 #: Most ids sent to all executors; beyond it the join is left to the planner.
 SENT_IDS = 2_000_000
@@ -104,13 +105,13 @@ def missing(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den)
 
 
-def spare(n: int, num: int, den: int) -> int:
+def spare(n: int) -> int:
     """How many shingles are looked at beyond the first that must be shared.
 
     Of the first ``missing + 1 + spare`` of two documents that link, at least ``spare + 1`` are
     shared, with the ``spare`` of the one whose last comes earlier in the order.
     """
-    return missing(n, num, den) // SPARE
+    return n // SPARE
 
 
 def describe(texts: DataFrame, words: int, kind: str) -> DataFrame:
@@ -182,7 +183,7 @@ def first_of_each(texts: DataFrame, level: np.ndarray, words: int, num: int, den
         keys, counts = [np.empty(0, dtype=np.uint64)], []
         for text in texts_of(batch.column(1)):
             own = shingles(text, words)
-            look = missing(len(own), num, den) + 1 + spare(len(own), num, den)
+            look = missing(len(own), num, den) + 1 + spare(len(own))
             keys.append(first_shingles(own, look, shipped.value))
             counts.append(len(keys[-1]))
         key = np.concatenate(keys)
@@ -205,26 +206,30 @@ def only_ids(ids: DataFrame) -> DataFrame:
 
 def fetch_sets(texts: DataFrame, points: DataFrame, words: int, kind: str,
                share: float = 1.0) -> DataFrame:
-    """The sets of some points (id, mark), from their texts; of each the lowest ``share`` of all
-    hashes, and the size of the whole."""
+    """The sets of some points (id, mark, region), from their texts (region, id, n, own).
+
+    Of each the lowest ``share`` of all hashes, and the size of the whole.
+    """
     below = np.uint64(min(int(share * 2.0 ** 64), 2 ** 64 - 1))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         take, sizes, sets = [], [], []
-        for at, (text, expected) in enumerate(zip(texts_of(batch.column(1)),
-                                                  batch.column(2).to_pylist())):
+        for at, (text, expected) in enumerate(zip(texts_of(batch.column(2)),
+                                                  batch.column(3).to_pylist())):
             own = shingles(text, words)
             if mark(own) == expected:
                 take.append(at)
                 sizes.append(len(own))
                 part = own if share >= 1 else own[:np.searchsorted(own, below)]
                 sets.append(part.view(np.int64))
+        rows = pa.array(take, pa.int64())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(take, pa.int64())), pa.array(sizes, pa.int64()),
-             pa.array(sets, pa.list_(pa.int64()))], ["id", "n", "own"])
+            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(sizes, pa.int64()),
+             pa.array(sets, pa.list_(pa.int64()))], ["region", "id", "n", "own"])
 
-    wanted = texts.join(only_ids(points), "id").select("id", "text", "mark")
-    return stored(map_batches(wanted, run, f"id {kind}, n bigint, own array<bigint>"), "sets")
+    wanted = texts.join(only_ids(points), "id").select("region", "id", "text", "mark")
+    return stored(map_batches(wanted, run, f"region {kind}, id {kind}, n bigint, "
+                                           "own array<bigint>"), "sets")
 
 
 class Sets:
@@ -304,26 +309,35 @@ def group_edges(key: pa.ChunkedArray) -> list[int]:
 
 
 def possible(regions: DataFrame, num: int, den: int, kind: str) -> DataFrame:
-    """The members of regions (region, id, n, own) that may link, going by a part of their sets.
+    """Which members of regions (region, id, n, own) may link, going by a part of their sets, as
+    pairs that connect them (one, other).
 
     What two sets do not share of a part of all shingles is not more than of all of them.
     """
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table | None:
         sets, n = Sets(table["own"]), table["n"].to_numpy()
-        edges, keep = group_edges(table.column(0)), np.zeros(len(n), dtype=bool)
+        edges, one, other = group_edges(table.column(0)), [], []
         for low, high in zip(edges, edges[1:]):
             size, whole = sets.sizes[low:high], n[low:high]
             apart = size[:, None] + size[None, :] - 2 * sets.overlaps(low, high)
-            may = (apart * (num + den) <= (whole[:, None] + whole[None, :]) * (den - num)) & (
-                den * whole[:, None] >= num * whole[None, :]) & (
-                den * whole[None, :] >= num * whole[:, None])
-            np.fill_diagonal(may, False)
-            keep[low:high] = may.any(axis=1)
-        return table.select(["region", "id"]).filter(pa.array(keep))
+            x, y = np.nonzero((apart * (num + den) <= (whole[:, None] + whole[None, :])
+                               * (den - num)) & (den * whole[:, None] >= num * whole[None, :])
+                              & (den * whole[None, :] >= num * whole[:, None]))
+            star(x, y, high - low, low, one, other)
+        return pair_table(table["id"], one, other)
+
+    return regions.select("region", "id", "n", "own").repartition("region") \
+        .sortWithinPartitions("region").mapInArrow(grouped(run), f"one {kind}, other {kind}")
+
 
-    return stored(regions.select("region", "id", "n", "own").repartition("region")
-                  .sortWithinPartitions("region")
-                  .mapInArrow(grouped(run), f"region {kind}, id {kind}"), "possible")
+def star(x: np.ndarray, y: np.ndarray, size: int, low: int, one: list, other: list) -> None:
+    """Add the pairs that connect what ``x`` and ``y`` connect, places counted from ``low``."""
+    labels = np.arange(size)
+    lowest(labels, x[x != y], y[x != y])
+    linked = np.flatnonzero(labels != np.arange(size))
+    if len(linked):
+        one.append(low + linked)
+        other.append(low + labels[linked])
 
 
 def join_regions(regions: DataFrame, num: int, den: int, kind: str) -> DataFrame:
@@ -332,13 +346,7 @@ def join_regions(regions: DataFrame, num: int, den: int, kind: str) -> DataFrame
         sets, take, root = Sets(table["own"]), [], []
         edges = group_edges(table.column(0))
         for low, high in zip(edges, edges[1:]):
-            x, y = sets.links(low, high, num, den)
-            if len(x):
-                labels = np.arange(high - low)
-                lowest(labels, x, y)
-                linked = np.flatnonzero(labels != np.arange(high - low))
-                take.append(low + linked)
-                root.append(low + labels[linked])
+            star(*sets.links(low, high, num, den), high - low, low, take, root)
         return pair_table(table["id"], take, root)
 
     return regions.select("region", "id", "own").repartition("region") \
@@ -444,13 +452,8 @@ def join_blocks(placed: DataFrame, sets: DataFrame, known: DataFrame, num: int,
         edges = group_edges(table.column(0))
         for low, high in zip(edges, edges[1:]):
             cut = low + int(np.count_nonzero(side[low:high] == 0))
-            x, y = own.links(low, high, num, den, None if cut == high else cut)
-            labels = np.arange(high - low)
-            lowest(labels, x, y)
-            linked = np.flatnonzero(labels != np.arange(high - low))
-            if len(linked):
-                take.append(low + linked)
-                root.append(low + labels[linked])
+            star(*own.links(low, high, num, den, None if cut == high else cut), high - low, low,
+                 take, root)
         return pair_table(table["id"], take, root)
 
     return rows.repartition("task").sortWithinPartitions("task", "side") \
@@ -494,38 +497,45 @@ def find_links(texts: DataFrame, first: DataFrame, points: DataFrame, words: int
                     .where("common or n > 1").select("id", "key"), "shared")
     # The smallest partner that a document of n shingles can have needs the least in common.
     partner = f"(({num} * n + {den - 1}) div {den})"
-    may_lack = F.expr(f"{partner} - ({num} * {partner} + {den - 1}) div {den}")
     company = shared.groupBy("id").count().join(
-        points.select("id", (F.floor(may_lack / SPARE) + 1).alias("least")), "id") \
+        points.select("id", F.expr(f"{partner} div {SPARE} + 1").alias("least")), "id") \
         .where("count >= least").select("id")
     close = stored(shared.join(company, "id"), "close")
     cells = stored(close.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("id").alias("rank"), "id"))["id"].alias("region"),
         F.count("*").alias("n")).where("n > 1").drop("n"), "cells")
     regions = stored(close.join(cells, "key").select("region", "id").distinct(), "regions")
-    weights = stored(regions.join(points.select("id", "n"), "id").groupBy("region").agg(
-        F.count("*").alias("docs"), F.sum("n").alias("shingles")), "weights")
-    large = (F.col("docs") > REGION_DOCS) | (F.col("shingles") > REGION_SHINGLES)
-    big = stored(weights.where(large).select("region"), "large")
     marks = points.select("id", "mark")
-
-    def sets_of(members: DataFrame, share: float = 1.0) -> DataFrame:
-        ids = stored(members.select("id").distinct().join(marks, "id"), "wanted")
-        return fetch_sets(texts, ids, words, kind, share)
-
+    docs, shingle_sum = F.count("*").alias("docs"), F.sum("n").alias("shingles")
+    large = (F.col("docs") > REGION_DOCS) | (F.col("shingles") > REGION_SHINGLES)
+    weights = stored(regions.join(points.select("id", "n"), "id").groupBy("region").agg(
+        docs, shingle_sum), "weights")
     small = stored(regions.join(weights.where(~large).select("region"), "region"), "moderate")
-    part = sets_of(small, min(1.0, 2.4 * (den - num) / (den + num)))
-    direct = possible(small.join(part, "id"), num, den, kind)
-    members = stored(regions.join(big, "region"), "members")
-    sets = sets_of(direct.unionByName(members))
-    found = stored(join_regions(direct.join(sets, "id"), num, den, kind), "near")
+    part = fetch_sets(texts, small.select("id").distinct().join(marks, "id").withColumn(
+        "region", F.col("id")), words, kind, min(1.0, 2.4 * (den - num) / (den + num)))
+    near = possible(small.join(part.drop("region"), "id"), num, den, kind)
+    # What may link is one region, so that each whole set is read and sent once; the members of a
+    # region too large for one task are taken for such without a look at parts of their sets.
+    whole = regions.join(weights.where(large).select("region"), "region")
+    together = stored(near.unionByName(whole.select(F.col("id").alias("one"),
+                                                    F.col("region").alias("other"))), "together")
+    hung = components(together, "one", "other")
+    members = stored(hung.select(F.col("component").alias("region"), F.col("node").alias("id"))
+                     .unionByName(hung.select(F.col("component").alias("region"),
+                                              F.col("component").alias("id")).distinct()), "members")
+    sets = fetch_sets(texts, members.join(marks, "id"), words, kind)
+    sizes = stored(sets.groupBy("region").agg(docs, shingle_sum), "sizes")
+    direct = sets.join(sizes.where(~large).select("region"), "region")
+    found = stored(join_regions(direct, num, den, kind), "near")
+    big = sizes.where(large).select("region")
     if big.isEmpty():
         return found
-    placed = split_region(members, sets, num, den, kind)
+    inside = stored(members.join(big, "region"), "inside")
+    placed = split_region(inside, sets.drop("region"), num, den, kind)
     to_pivots = placed.select(F.col("id").alias("one"), F.explode("linked").alias("other"))
     known = stored(found.unionByName(to_pivots), "near")
     return known.unionByName(join_blocks(
-        placed, sets, components(known, "one", "other"), num, den, kind))
+        placed, sets.drop("region"), components(known, "one", "other"), num, den, kind))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,

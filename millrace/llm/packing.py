@@ -34,7 +34,7 @@ from .batches import column, map_batches, texts_of
 
 CAPACITY = 2048
 END = 0
-ROUNDS = 24
+ROUNDS = 60
 #: A worker remembers between one and two times so many words.
 REMEMBERED = 200_000
 #: The character beyond which words are left to the slower library that defines the ids.
@@ -184,7 +184,7 @@ def fractional(counts: dict[int, int], capacity: int, rounds: int, rng) -> dict[
             key = tuple(sorted(taken.items()))
             uses[key] = uses.get(key, 0.0) + amount
         ahead = covered[here] / (n[here] * step / rounds) - 1
-        weight[here] = np.exp(-0.3 * np.clip(ahead, -2, 2)) * weight[here]
+        weight[here] = np.exp(-1.0 * np.clip(ahead, -2, 2)) * weight[here]
         weight[here] /= weight[here].mean()
     over = np.maximum(covered / np.maximum(n, 1), 1)
     return {key: use / max(over[k] for k, _ in key) for key, use in uses.items()}
@@ -214,7 +214,7 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = RO
         before = sum(left.values())
         uses = fractional(left, capacity, rounds, rng)
         for key, amount in sorted(uses.items(), key=lambda item: (-item[1], item[0])):
-            if amount >= 0.5:
+            if amount >= 0.5 and sum(k * per for k, per in key) == capacity:
                 use(dict(key), int(amount + 0.5))
         if sum(left.values()) > 0.8 * before:
             break
