@@ -83,7 +83,7 @@ def cases(spark):
         for name in (
             "ratings_report", "ratings_ranking", "global_average", "count_by",
             "ratings_report_from_files", "read_delimited_multichar", "read_csv_inferred",
-            "write_parquet", "lift_nested_field", "rank_within", "rank_within_large_groups",
+            "write_parquet", "lift_nested_field", "rank_within", "rank_within_whole_table",
             "word_counts", "windowed_edit_counts", "stream_page_counts", "stream_words",
         )
     }

@@ -5,6 +5,13 @@ from pyspark.sql.types import StructType
 
 from ..functions import iso_timestamp, json_record
 
+# Spark's own formats stop at milliseconds.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def parse_json_events(messages: DataFrame, schema: StructType, columns: list[str] | None = None,
                       time_column: str | None = "event_time",
@@ -32,12 +39,13 @@ def human_article_edits(events: DataFrame) -> DataFrame:
 
 
 def encode_messages(events: DataFrame, key: str | None = "event_id") -> DataFrame:
-    """Rows to ``key, value`` messages: the row as JSON text, NULL fields written out as null.
+    """Rows to ``key, value`` messages: the row as JSON text, NULL fields written out as null and
+    times with their microseconds.
 
     The key is the text of column ``key``, NULL where that is NULL or where ``key`` is None.
     """
     message_key = F.lit(None) if key is None else F.col(key)
     return events.select(
         message_key.cast("string").alias("key"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"),
+        F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"),
     )

@@ -1,105 +1,75 @@
-"""Rank of each row within its group, safe for groups of any size."""
+"""Rank of each row within its group, on one path for groups of any size."""
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..workspace import stored
 
 
 def rank_within(df: DataFrame, partition_by: list[str], order_by: list[str],
-                ascending: list[bool] | None = None, name: str = "rank",
-                max_group_rows: int = 5_000_000) -> DataFrame:
-    """Add ``rank() over (partition by .. order by ..)``.
-
-    A window function sorts each group in one task.  Groups of up to ``max_group_rows`` rows take
-    that path; only if larger ones exist are those, and only those, ranked over many tasks: their
-    distinct order values are counted, range-partitioned and summed up, and the ranks joined back.
-    The group sizes come from a job of their own, which reads just the grouping columns.  As ``df``
-    is read several times, store it first if it takes long to compute.
+                ascending: list[bool] | None = None, name: str = "rank") -> DataFrame:
+    """Add ``rank() over (partition by .. order by ..)`` as ``name``, a 64-bit count.
+
+    A window function sorts each group in one task.  Here the rows are range-partitioned by group
+    and order, so that a large group is many parts and a part has many small groups; each is ranked
+    within its part, and the result is written once.  A group that lies in several parts then gets
+    its ranks moved by the rows before.  Rows with equal order values may be split between parts as
+    long as they differ in some column.  Columns may have any names; ``name`` replaces a column.
     """
-    if not partition_by:
-        whole = df.withColumn("_all", F.lit(0))
-        return rank_within(whole, ["_all"], order_by, ascending, name, max_group_rows).drop("_all")
     ascending = ascending or [True] * len(order_by)
-    order = [F.asc(c) if up else F.desc(c) for c, up in zip(order_by, ascending, strict=True)]
-    in_one_task = F.rank().over(Window.partitionBy(*partition_by).orderBy(*order)).cast("long")
-
-    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0]
-    if largest is None or largest <= max_group_rows:
-        return df.withColumn(name, in_one_task)
-
-    # At most (all rows / max_group_rows) groups are that large, which bounds the broadcast.
-    large = F.broadcast(stored(_more_than(max_group_rows, sizes, partition_by), "large-groups"))
-    small_rows = df.join(large, _matches(df, large, partition_by), "left_anti")
-    large_rows = df.join(large, _matches(df, large, partition_by), "left_semi")
-    in_parts = _rank_in_parts(large_rows, partition_by, order_by, order, max_group_rows)
-    return small_rows.withColumn(name, in_one_task).unionByName(
-        in_parts.withColumn(name, F.col("_rank")).drop("_rank")
-    )
-
-
-def _renamed(columns: list[str]) -> list[Column]:
-    return [F.col(column).alias(f"_{column}") for column in columns]
-
-
-def _more_than(limit: int, counted: DataFrame, keys: list[str]) -> DataFrame:
-    return counted.where(F.col("_rows") > limit).select(*_renamed(keys))
-
-
-def _matches(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL keys form a group like any other, so the comparison is null-safe."""
-    return reduce(Column.__and__, [left[key].eqNullSafe(right[f"_{key}"]) for key in keys])
-
-
-def _rank_in_parts(rows: DataFrame, keys: list[str], order_by: list[str], order: list[Column],
-                   limit: int) -> DataFrame:
-    """``rows`` with their rank as ``_rank``."""
-    values = rows.groupBy(*keys, *order_by).agg(F.count(F.lit(1)).alias("_rows"))
-    # Each run samples its own cut points, so the parts are written once and then kept.
-    parts = stored(
-        values.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()),
-        "order-values",
-    )
-    columns = keys + order_by
-    ranks = _value_ranks(parts, keys, order).select(*_renamed(columns), "_rows", "_rank")
-
-    # Bounded like the large groups: at most (all rows / limit) values are that frequent.
-    frequent = parts.where(F.col("_rows") > limit)
-    if frequent.isEmpty():
-        return rows.join(ranks, _matches(rows, ranks, columns)).select(*rows.columns, "_rank")
-
-    # A value with that many rows would be one task of the join, so its rank is broadcast instead.
-    ranks = stored(ranks, "ranks")
-    is_frequent = F.col("_rows") > limit
-    hot, other = F.broadcast(ranks.where(is_frequent)), ranks.where(~is_frequent)
-    rest = rows.join(hot, _matches(rows, hot, columns), "left_anti")
-    return (
-        rows.join(hot, _matches(rows, hot, columns)).select(*rows.columns, "_rank")
-        .unionByName(
-            rest.join(other, _matches(rest, other, columns)).select(*rows.columns, "_rank")
-        )
-    )
-
-
-def _value_ranks(parts: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Rank of each distinct order value of a group: one plus the rows that sort before it, which
-    are those of the group's earlier parts and the earlier ones in its own part."""
-    earlier_parts = (
-        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # A part holds one contiguous range, so there are at most (parts + groups) totals.
-    totals = (
-        parts.groupBy(*keys, "_part").agg(F.sum("_rows").alias("_total"))
-        .withColumn("_before_part", F.sum("_total").over(earlier_parts))
-        .select(*_renamed([*keys, "_part"]), "_before_part")
-    )
-    before_in_part = (
-        Window.partitionBy(*keys, "_part").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("_rows").over(before_in_part), F.lit(0))
-    return parts.join(F.broadcast(totals), _matches(parts, totals, [*keys, "_part"])).withColumn(
-        "_rank", F.coalesce("_before_part", F.lit(0)) + before + 1
+    keys = [f"k{i}" for i in range(len(partition_by))] or ["k0"]
+    values = [f"o{i}" for i in range(len(order_by))]
+    order = [F.asc(v) if up else F.desc(v) for v, up in zip(values, ascending, strict=True)]
+    # User columns stay inside a struct, away from the names used here.
+    rows = df.select(
+        F.struct(*[_column(c) for c in df.columns]).alias("row"),
+        *([_column(c).alias(k) for c, k in zip(partition_by, keys)]
+          or [F.lit(0).alias("k0")]),
+        *[_column(c).alias(v) for c, v in zip(order_by, values)],
+        F.xxhash64(*[_column(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
+        .alias("tie"),
     )
+    in_part = Window.partitionBy("part", *keys).orderBy(*order)
+    ranked = stored(
+        rows.repartitionByRange(*keys, *order, "tie").withColumn("part", F.spark_partition_id())
+        .withColumn("rank", F.rank().over(in_part).cast("long")).drop("tie"), "ranked")
+    moves = _moves(ranked, keys, values)
+    same = F.col("part") == F.col("at_part")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"at_{key}"))
+    # A part holds one contiguous range, so at most two of its groups lie in other parts too: the
+    # number of moves is bounded by the number of parts.
+    placed = ranked.join(F.broadcast(moves), same, "left").withColumn("rank", F.coalesce(
+        F.when(F.col("rank") == 1, F.col("first_rank")).otherwise(F.col("before") + F.col("rank")),
+        F.col("rank")))
+    kept = [F.col("row").getField(c).alias(c) if c != name else F.col("rank").alias(name)
+            for c in df.columns]
+    return placed.select(*kept, *([] if name in df.columns else [F.col("rank").alias(name)]))
+
+
+def _column(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _moves(ranked: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """For each part of a group in several parts: the rows of the group in parts before, and the
+    rank of its first order value, which may go back to an earlier part."""
+    parts = Window.partitionBy(*keys).orderBy("part")
+    value = F.struct(*values)
+    totals = ranked.groupBy(*keys, "part").agg(
+        F.count("*").alias("rows"), F.max("rank").alias("last"),
+        F.min_by(value, "rank").alias("low"), F.max_by(value, "rank").alias("high"),
+    ).withColumns({
+        "n": F.count("*").over(Window.partitionBy(*keys)),
+        "before": F.coalesce(F.sum("rows").over(
+            parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "continued": F.coalesce(F.lag("high").over(parts).eqNullSafe(F.col("low"))
+                                & F.lag("rows").over(parts).isNotNull(), F.lit(False)),
+    }).where("n > 1")
+    # The rank of the last value, where it starts in this very part.
+    started = F.when(F.col("last") > 1, F.col("before") + F.col("last")).when(
+        ~F.col("continued"), F.col("before") + 1)
+    earlier = F.last("started", ignorenulls=True).over(
+        parts.rowsBetween(Window.unboundedPreceding, -1))
+    return totals.withColumn("started", started).select(
+        F.col("part").alias("at_part"), *[F.col(k).alias(f"at_{k}") for k in keys], "before",
+        F.when(F.col("continued"), earlier).otherwise(F.col("before") + 1).alias("first_rank"))

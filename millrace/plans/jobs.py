@@ -3,14 +3,12 @@
 ``spark-submit --properties-file conf/example.properties run_job.py ratings_report``
 """
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import global_average, lift_nested_field
 from ..schemas import DATED_MOVIES, MOVIES, RATINGS
-from ..sinks import write_csv, write_parquet
+from ..sinks import write_parquet
 from ..sources import (
     job_param, read_delimited, read_json, read_sse, read_stream_output, stream_sse,
 )
@@ -19,19 +17,9 @@ from .edits import article_edit_counts, page_edit_counts
 from .feed import change_messages
 from .reports import ratings_report as report
 
-logger = logging.getLogger(__name__)
-
 Result = DataFrame | StreamingQuery | None
 
 
-def literal_rows(spark: SparkSession) -> Result:
-    """Two literal rows to a CSV file."""
-    logger.info("batch %s", job_param(spark, "batch_id", "N/A"))
-    rows = spark.createDataFrame([(1, "foo"), (2, "bar")], ["id", "val"])
-    write_csv(rows, job_param(spark, "output_path"), num_files=1)
-    return rows
-
-
 def average_rating(spark: SparkSession) -> Result:
     """``::``-separated ratings to Parquet, and their average, taken from the Parquet files so that
     the text is parsed once."""
@@ -42,13 +30,13 @@ def average_rating(spark: SparkSession) -> Result:
 
 
 def ratings_report(spark: SparkSession) -> Result:
-    """Tab-separated ratings and pipe-separated titles to the best rated titles."""
-    return report(
+    """Tab-separated ratings and pipe-separated titles to all titles rated often enough, best first,
+    or the ``top`` of them."""
+    return _written(spark, report(
         read_delimited(spark, job_param(spark, "ratings_path"), RATINGS, "\t"),
         read_delimited(spark, job_param(spark, "movies_path"), MOVIES, "|"),
-        k=int(job_param(spark, "top", "10")),
-        min_count=int(job_param(spark, "min_count", "100")),
-    )
+        k=_top(spark), min_count=int(job_param(spark, "min_count", "100")),
+    ), "output_path")
 
 
 def movies_by_date(spark: SparkSession) -> Result:
@@ -62,7 +50,8 @@ def movies_by_date(spark: SparkSession) -> Result:
 def nested_field(spark: SparkSession) -> Result:
     """JSON lines that have a nested field, with that field as a column."""
     documents = read_json(spark, job_param(spark, "json_path"))
-    return lift_nested_field(documents, job_param(spark, "field", "attributes.AgesAllowed"))
+    lifted = lift_nested_field(documents, job_param(spark, "field", "attributes.AgesAllowed"))
+    return _written(spark, lifted, "output_path")
 
 
 def echo_lines(spark: SparkSession) -> Result:
@@ -91,10 +80,11 @@ def article_counts(spark: SparkSession) -> Result:
 
 
 def latest_counts(spark: SparkSession) -> Result:
-    """What a counting job has written, latest window and largest count first."""
+    """What a counting job has written, latest window and largest count first, all of it or the
+    ``top`` of it; to ``report_path`` if that is set."""
     order = job_param(spark, "order_by", "window_start,edit_count").split(",")
-    return read_stream_output(spark, job_param(spark, "output_path"), order,
-                              int(job_param(spark, "top", "10")))
+    return _written(spark, read_stream_output(
+        spark, job_param(spark, "output_path"), order, _top(spark)), "report_path")
 
 
 def feed_messages(spark: SparkSession) -> Result:
@@ -108,6 +98,21 @@ def feed_messages(spark: SparkSession) -> Result:
     )
 
 
+def _top(spark: SparkSession) -> int | None:
+    """How many rows are asked for; all unless ``top`` is set."""
+    top = job_param(spark, "top", "")
+    return int(top) if top else None
+
+
+def _written(spark: SparkSession, result: DataFrame, setting: str) -> DataFrame:
+    """``result``, written to Parquet first if ``setting`` names a path."""
+    path = job_param(spark, setting, "")
+    if not path:
+        return result
+    write_parquet(result, path)
+    return spark.read.parquet(path)
+
+
 def _messages(spark: SparkSession) -> DataFrame:
     return kafka_source(
         spark, job_param(spark, "kafka_bootstrap_servers"), job_param(spark, "kafka_topic"),
@@ -118,7 +123,7 @@ def _messages(spark: SparkSession) -> DataFrame:
 JOBS = {
     job.__name__: job
     for job in (
-        literal_rows, average_rating, ratings_report, movies_by_date, nested_field, echo_lines,
+        average_rating, ratings_report, movies_by_date, nested_field, echo_lines,
         page_counts, article_counts, latest_counts, feed_messages,
     )
 }

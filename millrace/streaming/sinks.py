@@ -8,7 +8,7 @@ every executor and the next driver can reach; it belongs to one query.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -54,21 +54,22 @@ def kafka_sink(messages: DataFrame, bootstrap_servers: str, topic: str,
     return None
 
 
-def stream_to_jdbc(df: DataFrame, url: str, table: str, checkpoint: str,
+def stream_to_jdbc(df: DataFrame, url: str, table: str, checkpoint: str, driver: str,
                    trigger: dict | None = None, **writer_options) -> StreamingQuery:
     """Write each micro-batch to a database table, see ``jdbc_batch_writer``."""
-    write = jdbc_batch_writer(url, table, **writer_options)
+    write = jdbc_batch_writer(url, table, driver, **writer_options)
     return _writer(df, trigger, checkpoint).foreachBatch(write).start()
 
 
-def jdbc_batch_writer(url: str, table: str, user: str | None = None, password: str | None = None,
-                      driver: str = "org.postgresql.Driver", mode: str = "append",
-                      max_connections: int | None = None,
+def jdbc_batch_writer(url: str, table: str, driver: str, user: str | None = None,
+                      password: str | None = None, mode: str = "append",
+                      max_connections: int | None = None, epoch_column: str | None = None,
                       **options) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: a window struct is flattened, then the batch is written.
 
     The default appends.  ``mode="overwrite"`` leaves only the last batch in the table.  A batch that
-    is repeated after a failure is written again, so give the table a key if that matters.
+    is repeated after a failure is written again: ``epoch_column`` adds the batch's number, the same
+    in each attempt, so that a key of the table can refuse the second one.
     ``max_connections`` bounds the tasks that write at the same time.
     """
     connection = {"url": url, "dbtable": table, "driver": driver, **options}
@@ -83,6 +84,8 @@ def jdbc_batch_writer(url: str, table: str, user: str | None = None, password: s
         for field in batch.schema.fields:
             if isinstance(field.dataType, StructType) and field.dataType.names == ["start", "end"]:
                 batch = flatten_window(batch, field.name)
+        if epoch_column is not None:
+            batch = batch.withColumn(epoch_column, F.lit(epoch_id).cast("long"))
         batch.write.format("jdbc").options(**connection).mode(mode).save()
 
     return write

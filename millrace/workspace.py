@@ -17,7 +17,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="millrace-")
         context.setCheckpointDir(root)

@@ -176,3 +176,11 @@ def page_counts(spark, sf_dir):
 def article_counts(spark, sf_dir):
     counts = article_edit_counts(change_messages(spark, sf_dir))
     return without_zone(counts, "window_start", "window_end")
+
+
+@query("messages_keep_microseconds", "SELECT event_id, ts FROM events")
+def microseconds_round_trip(spark, sf_dir):
+    """Event times to JSON messages and back, equal to the microsecond."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    back = parse_json_events(encode_messages(events), events.schema, time_column=None)
+    return without_zone(back, "ts")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import global_average
-from millrace.plans import ratings_report
+from millrace.plans import jobs, ratings_report
 from millrace.schemas import DATED_MOVIES, MOVIES, RATINGS
 from millrace.sinks import write_csv, write_parquet
 from millrace.sources import read_csv_inferred, read_delimited
@@ -126,3 +126,25 @@ def write_parquet_by_date(spark, sf_dir):
     write_parquet(events, path, partition_by=["date"])
     written = spark.read.schema(events.schema).parquet(path)
     return written.withColumn("date", F.col("date").cast("string"))
+
+
+@query("ratings_job", f"""
+    SELECT CAST(l_partkey AS INTEGER) AS item_id, cnt, avg, CAST(l_partkey AS INTEGER) AS movie_id,
+           p_name AS movie_title
+    FROM ({RATED}) JOIN part ON p_partkey = l_partkey
+""")
+def ratings_job(spark, sf_dir):
+    """The report job with all its settings from the session; every item above the threshold."""
+    settings = {
+        "ratings_path": rating_lines(spark, sf_dir, "\t"),
+        "movies_path": delimited(spark, table(spark, sf_dir, "part"), "|", "p_partkey", "p_name"),
+        "output_path": scratch_path(spark, "report"), "min_count": str(MIN_COUNT),
+    }
+    for name, value in settings.items():
+        spark.conf.set(f"spark.app.{name}", value)
+    try:
+        jobs.ratings_report(spark)
+    finally:
+        for name in settings:
+            spark.conf.unset(f"spark.app.{name}")
+    return rounded(spark.read.parquet(settings["output_path"]))

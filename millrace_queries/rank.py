@@ -4,9 +4,6 @@ from millrace.operators import rank_within
 
 from .registry import query, table
 
-# Below the group size at scale factor 0.01, so that the checks cover groups ranked by many tasks.
-SPLIT_ABOVE = 1000
-
 
 def orders(spark, sf_dir, *columns):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", *columns)
@@ -28,9 +25,9 @@ def rank_by_price(spark, sf_dir):
     FROM orders
 """)
 def rank_large_groups(spark, sf_dir):
-    """Groups above the limit, with ties."""
+    """Large groups with ties."""
     return rank_within(orders(spark, sf_dir, "o_orderdate"), ["o_orderstatus"], ["o_orderdate"],
-                       [False], max_group_rows=SPLIT_ABOVE)
+                       [False])
 
 
 @query("rank_within_large_ties", """
@@ -39,9 +36,9 @@ def rank_large_groups(spark, sf_dir):
     FROM orders
 """)
 def rank_large_ties(spark, sf_dir):
-    """Groups above the limit, in which some order values are themselves shared by so many rows."""
+    """Large groups in which each order value is shared by very many rows."""
     return rank_within(orders(spark, sf_dir, "o_orderpriority"), ["o_orderstatus"],
-                       ["o_orderpriority"], max_group_rows=SPLIT_ABOVE)
+                       ["o_orderpriority"])
 
 
 @query("rank_within_small_groups", """
@@ -54,3 +51,23 @@ def rank_small_groups(spark, sf_dir):
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
         ["o_custkey"], ["o_totalprice"], name="price_rank",
     )
+
+
+@query("rank_within_whole_table", """
+    SELECT o_orderkey, o_orderstatus, o_totalprice,
+           rank() OVER (ORDER BY o_totalprice DESC) AS rank
+    FROM orders
+""")
+def rank_whole_table(spark, sf_dir):
+    return rank_within(orders(spark, sf_dir, "o_totalprice"), [], ["o_totalprice"], [False])
+
+
+@query("rank_within_odd_names", """
+    SELECT o_orderkey AS _rank, o_orderstatus AS k, o_orderpriority AS _k,
+           rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS rank
+    FROM orders
+""")
+def rank_odd_names(spark, sf_dir):
+    """Columns whose names look like helpers' names."""
+    odd = orders(spark, sf_dir, "o_orderpriority").toDF("_rank", "k", "_k")
+    return rank_within(odd, ["k"], ["_k"])

@@ -107,3 +107,31 @@ def stream_late_rows(spark, sf_dir):
         spark, sf_dir, "ts < '2024-01-11'", "ts >= '2024-01-11' AND ts < '2024-01-21'",
         "ts < '2024-01-11' OR ts >= '2024-01-21'",
     )
+
+
+@query("stream_replayed", PAGE_COUNTS)
+def stream_replayed(spark, sf_dir):
+    """All messages again from the start, with a second checkpoint and output."""
+    inbox = scratch_path(spark, "inbox")
+    edit_messages(spark, sf_dir).write.parquet(inbox)
+    for _ in range(2):
+        path = scratch_path(spark, "counts")
+        run_once(page_edit_counts(stream_parquet(spark, inbox)), path,
+                 scratch_path(spark, "checkpoint"))
+    return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")
+
+
+@query("stream_processing_time", PAGE_COUNTS)
+def stream_processing_time(spark, sf_dir):
+    """A timed trigger, stopped when all that is there has been read."""
+    inbox, path = scratch_path(spark, "inbox"), scratch_path(spark, "counts")
+    edit_messages(spark, sf_dir).write.parquet(inbox)
+    running = stream_to_parquet(
+        page_edit_counts(stream_parquet(spark, inbox)), path, scratch_path(spark, "checkpoint"),
+        trigger={"processingTime": "1 second"},
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return without_zone(flatten_window(spark.read.parquet(path)), "window_start", "window_end")

@@ -79,13 +79,13 @@ def test_json_is_parsed_once(spark, plan):
 
 def test_messages_round_trip(spark):
     df = spark.createDataFrame(
-        [(7, "é \"x\"", None, datetime(2024, 1, 1, 0, 0, 1))],
+        [(7, "é \"x\"", None, datetime(2024, 1, 1, 0, 0, 1, 123456))],
         "event_id long, title string, size int, at timestamp",
     )
     (message,) = encode_messages(df).collect()
     assert message.key == "7"
     assert json.loads(message.value) == {
-        "event_id": 7, "title": "é \"x\"", "size": None, "at": "2024-01-01T00:00:01.000Z"
+        "event_id": 7, "title": "é \"x\"", "size": None, "at": "2024-01-01T00:00:01.123456Z"
     }
     back = parse_json_events(encode_messages(df), df.schema, time_column=None)
     assert back.collect() == df.collect()

@@ -1,5 +1,4 @@
 import pytest
-from conftest import rows
 
 from millrace.plans import jobs
 from millrace.streaming import stream_to_parquet
@@ -20,13 +19,6 @@ def params(spark):
         spark.conf.unset(name)
 
 
-def test_literal_rows(spark, params, tmp_path):
-    params(output_path=tmp_path / "out", batch_id="b")
-    jobs.run(spark, "literal_rows")
-    written = spark.read.csv(str(tmp_path / "out"), header=True, inferSchema=True)
-    assert rows(written) == [(1, "foo"), (2, "bar")]
-
-
 def test_average_rating(spark, params, tmp_path):
     (tmp_path / "ratings").write_text("1::1::4.0::0\n2::1::5.0::0\n")
     params(ratings_path=tmp_path / "ratings", output_path=tmp_path / "out")
@@ -39,8 +31,14 @@ def test_ratings_report(spark, params, tmp_path):
     (tmp_path / "ratings").write_text("\n".join(lines))
     (tmp_path / "movies").write_text("".join(f"{i}|Title {i}|01-Jan-1995|x\n" for i in range(30)))
     params(ratings_path=tmp_path / "ratings", movies_path=tmp_path / "movies")
+    every = [14, 19, 24, 29, 13, 18, 23, 28, 12, 17, 22, 27, 11, 16, 21, 26, 15, 20, 25]
+    assert [row.item_id for row in jobs.ratings_report(spark).collect()] == every
+    params(output_path=tmp_path / "out")
+    jobs.run(spark, "ratings_report")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(every)
+    params(output_path="", top=10)
     report = jobs.ratings_report(spark).collect()
-    assert [row.item_id for row in report] == [14, 19, 24, 29, 13, 18, 23, 28, 12, 17]
+    assert [row.item_id for row in report] == every[:10]
     assert report[0] == (14, 140, 4.0, 14, "Title 14")
 
 

@@ -247,11 +247,12 @@ def test_kafka_sink_options(spark, tmp_path):
 
 def test_jdbc_writer(spark):
     frame = FakeFrame(spark.createDataFrame([(1,)], "n int").schema)
-    jdbc_batch_writer("jdbc:x", "counts", "me", "secret", max_connections=4, batchsize="5000")(frame, 3)
+    jdbc_batch_writer("jdbc:x", "counts", "a.Driver", "me", "secret", max_connections=4,
+                      batchsize="5000")(frame, 3)
     assert frame.write.calls[-1] == "save"
     assert frame.write.set == {
         "format": "jdbc", "url": "jdbc:x", "dbtable": "counts", "user": "me", "password": "secret",
-        "driver": "org.postgresql.Driver", "numPartitions": "4", "batchsize": "5000",
+        "driver": "a.Driver", "numPartitions": "4", "batchsize": "5000",
         "mode": "append",
     }
 
@@ -266,5 +267,19 @@ def test_stream_to_jdbc_writes_flat_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(
         DataFrameWriter, "save", lambda self: self._df.write.mode("append").parquet(out)
     )
-    stream_to_jdbc(counts, "jdbc:x", "counts", str(tmp_path / "checkpoint"), ONCE).awaitTermination()
+    stream_to_jdbc(counts, "jdbc:x", "counts", str(tmp_path / "checkpoint"), "a.Driver",
+                   ONCE).awaitTermination()
     assert rows(spark.read.parquet(out)) == [(at(0, 0), at(0, 1), "a", 1)]
+
+
+def test_a_repeated_batch_can_be_told(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    out = str(tmp_path / "out")
+    monkeypatch.setattr(
+        DataFrameWriter, "save", lambda self: self._df.write.mode("append").parquet(out)
+    )
+    write = jdbc_batch_writer("jdbc:x", "counts", "a.Driver", epoch_column="epoch")
+    for epoch in (3, 3, 4):
+        write(spark.createDataFrame([(1,)], "n int"), epoch)
+    assert rows(spark.read.parquet(out)) == [(1, 3), (1, 3), (1, 4)]

@@ -34,8 +34,9 @@ def test_folder_of_the_context_is_used():
 def test_only_a_local_session_gets_a_temporary_folder():
     local = Session("local[4]")
     assert checkpoint_root(local) == checkpoint_root(local) == local.folder
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        checkpoint_root(Session("spark://host:7077"))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(Session(master))
 
 
 def test_stored_frame_reads_what_was_written(spark):
