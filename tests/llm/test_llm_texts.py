@@ -1,0 +1,458 @@
+"""Operators that judge one text at a time, against plain computations and on edge rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from functools import cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import public_tokenizers as vocabularies
+from millrace.llm import language, licenses, packing, pieces, quality, toxicity, urls, wrappers
+from millrace.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+MODEL = vocabularies.path("piece_bpe_32k.model")
+BYTES = (vocabularies.path("byte_bpe_50k.json"), vocabularies.path("byte_bpe_50k.tiktoken"),
+         vocabularies.PATTERN)
+EDGES = [None, "", " ", "\n", "a", "Éé ß", "a  b", " lead", "trail ", "▁▁x", "<s> <0x41>",
+         "日本語 テスト", "😀 ok", "\x00\x01", "word " * 3000, "don't 'll", "a \n b", "½ Ⅷ",
+         "<|endoftext|> in text"]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+
+
+def edge_table(spark):
+    """Edge texts with repeated rows, a null id and columns named like results."""
+    rows = [(i, t, "x", 0.5) for i, t in enumerate(EDGES)] + [(0, None, "x", 0.5), (4, "a", "y", 1.0),
+                                                              (None, "a b c", "z", 0.0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, id string, score double")
+
+
+def no_rows(spark):
+    return spark.createDataFrame([], "doc_id long, text string, id string, score double")
+
+
+# --- pieces ---
+
+def test_pieces_equal_the_library(texts):
+    import sentencepiece
+
+    own, library = pieces.codec(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    random.seed(3)
+    soup = ["".join(random.choices("abcdeéèßth .,\n▁ 0123日😀ing", k=random.randint(1, 40)))
+            for _ in range(1500)]
+    for text in [t or "" for t in EDGES] + texts + soup:
+        ids = library.encode(text)
+        assert own.encode(text) == ids, text[:80]
+        assert own.decode(ids) == library.decode(ids)
+        n, ids_sum, text_sum = own.digest(text)
+        assert n == len(ids)
+        assert ids_sum == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert text_sum == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_pair_test_equals_merging():
+    own = pieces.codec(MODEL)
+    random.seed(4)
+    known = [p for p in own.automaton.keys() if "▁" not in p[1:]]
+    for _ in range(5000):
+        a, b = random.choice(known), random.choice(known)
+        if "▁" not in b:
+            assert own.compatible(a, b) == (own.merge(a + b) == [a, b])
+
+
+def test_pieces_on_edge_rows(spark):
+    found = pieces.encode_pieces(edge_table(spark), MODEL).collect()
+    assert len(found) == len(EDGES) + 3
+    assert [r.ids for r in found if r.doc_id == 0] == [[], []]
+    sums = pieces.piece_digests(edge_table(spark), MODEL).collect()
+    assert {(r.doc_id, len(r.ids)) for r in found} == {(r.doc_id, r.n_tokens) for r in sums}
+    assert pieces.encode_pieces(no_rows(spark), MODEL).count() == 0
+
+
+# --- packing ---
+
+def check_packing(found, docs):
+    """Pieces are whole and in order, sequences gapless and not too long."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES[0])
+    sequences, by_doc = {}, {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for parts in sequences.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    for doc_id, text in docs.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        parts, at = sorted(by_doc[doc_id], key=lambda r: r.piece), 0
+        assert [r.piece for r in parts] == list(range(len(parts)))
+        assert all(r.length == 2048 for r in parts[1:])
+        for r in parts:
+            part = ids[at:at + r.length]
+            assert r.start == at
+            assert r.ids_crc32 == zlib.crc32(np.array(part, dtype="<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    total = sum(r.length for r in found)
+    return len(sequences), -(-total // 2048)
+
+
+def test_packing_is_whole_and_tight(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    used, least = check_packing(QUERIES["op1_packing"](spark, SF).collect(),
+                                {r.doc_id: r.text for r in docs.collect()})
+    assert used <= least + 1
+
+
+def test_packing_edge_rows(spark):
+    docs = edge_table(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    found = packing.pack(docs, *BYTES, keep_ids=True).collect()
+    check_packing(found, dict(enumerate(EDGES)))
+    assert all(len(r.ids) == r.length for r in found)
+    assert packing.pack(edge_table(spark), *BYTES).where("doc_id = 0").count() == 2
+    assert packing.pack(no_rows(spark), *BYTES).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_places_every_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.choice([16, 100, 2048]))
+    counts = {int(k): int(rng.integers(1, [3, 40, 3000][seed % 3]))
+              for k in rng.integers(1, capacity + 1, 200)}
+    plan = packing.make_plan(counts, capacity)
+    placed, filled = Counter(), Counter()
+    for length, low, high, first, per, offset in plan.rows:
+        placed[length] += high - low
+        for at in range(low, high):
+            filled[first + (at - low) // per] += length
+    assert placed == counts and max(filled.values()) <= capacity
+    assert len(filled) == plan.sequences
+    plain = packing.Plan(capacity)
+    packing.best_fit(dict(counts), capacity, plain)
+    assert plan.sequences <= plain.sequences * 1.005 + 1
+
+
+def test_knapsack_prices_are_best():
+    rng = np.random.default_rng(1)
+    price = np.where(rng.random(31) < 0.4, rng.random(31), -np.inf)
+    price[0] = -np.inf
+    worth, last = packing.best_fill(price, 30)
+    best = [0.0] * 31
+    for size in range(1, 31):
+        best[size] = max([best[size - 1], *(price[k] + best[size - k] for k in range(1, size + 1))])
+    assert np.allclose(worth, best)
+    assert all(k == 0 or np.isfinite(price[k]) for k in last)
+
+
+# --- quality ---
+
+def plain_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1
+               for k in range(3)}
+    seen, repeated = set(), 0
+    for line in (text or "").split("\n"):
+        repeated += line in seen and bool(re.search(r"[^\x20\x09-\x0D]", line))
+        seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), repeated,
+            len(covered))
+
+
+def test_statistics_equal_plain_ones(texts):
+    cases = EDGES + texts + ["a b c a b c a b c", "x\nx\n\n\nx", "\u2028a\xa0b c", "a b a b a b"]
+    for text in cases:
+        assert quality.text_statistics(text)[:5] == plain_statistics(text), text
+
+
+def test_quality_learns_from_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    found = quality.quality_rules(docs, model).join(labels, "doc_id").where("not base_failed")
+    right = found.groupBy((F.col("quality") == 1).alias("good")).agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"))
+    shares = {r.good: r.kept for r in right.collect()}
+    assert shares[True] > 0.95 and shares[False] < 0.2
+    kept = quality.keep_good(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.count() == quality.quality_rules(docs, model).where("kept").count()
+
+
+def test_quality_edge_rows(spark):
+    labels = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (7, None)],
+                                   "doc_id long, quality int")
+    docs = edge_table(spark)
+    model = quality.fit_quality(docs, labels)
+    found = quality.quality_rules(docs, model).collect()
+    assert len(found) == len(EDGES) + 3
+    assert all(r.kept != r.base_failed for r in found)
+    assert quality.quality_rules(no_rows(spark), quality.fit_quality(
+        no_rows(spark), labels.limit(0))).count() == 0
+    renamed = docs.withColumnRenamed("id", "kept")
+    assert quality.keep_good(renamed, model).columns == renamed.columns
+
+
+def test_isolation_depths():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 4))
+    forest = quality.grow(x)
+    odd = forest.anomaly(np.array([[9.0, 9, 9, 9]]))[0]
+    assert odd > forest.anomaly(x).max()
+    assert np.allclose(quality.grow(x[::-1]).anomaly(x), forest.anomaly(x))
+    # By hand: a walk down each tree.
+    row, total = x[0], 0.0
+    for f, cut, left, depth in zip(forest.feature, forest.cut, forest.left, forest.depth):
+        at = 0
+        while left[at] > 0:
+            at = left[at] + (row[f[at]] >= cut[at])
+        total += depth[at]
+    assert np.isclose(2 ** (-total / 100 / quality.expected_path(256)), forest.anomaly(x[:1])[0])
+
+
+# --- languages ---
+
+def test_languages_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op8_languages"](spark, "/root/testdata/sf0.01").where("held_out")
+    both = found.join(docs, "doc_id")
+    assert both.where("lang = lang_pred").count() >= 0.98 * both.count()
+    assert {r.held_out for r in found.collect()} == {True}
+    ids = [r.doc_id for r in found.collect()]
+    assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in ids)
+
+
+def test_code_lengths_are_those_of_the_tree():
+    """A plain model with counts in dictionaries, symbol by symbol."""
+    import pyarrow as pa
+
+    sample = {"a": "the cat and the dog sat. the end", "b": "le chat et le chien. la fin"}
+    every = sorted({language.FOLD[c] for t in sample.values() for c in t.encode()} | {10})
+    place = np.full(256, language.SYMBOLS - 1, dtype=np.uint8)
+    place[every] = np.arange(len(every))
+    symbol = place[language.FOLD]
+    shared = len(set(language.FOLD.tolist())) - len(every)
+    rows = [(name, int(g), 1) for name, t in sample.items()
+            for g in language.codes(t.encode(), symbol)]
+    total = Counter((n, g) for n, g, _ in rows)
+    model = language.build_model(pa.table({
+        "lang": [n for n, _ in total], "gram": pa.array([g for _, g in total], pa.int32()),
+        "n": list(total.values())}), symbol, shared)
+
+    def plain(name, text):
+        counts = {}
+        stream = [symbol[10]] * 3 + [symbol[c] for c in sample[name].encode()]
+        for i in range(3, len(stream)):
+            for order in range(4):
+                context = tuple(stream[i - order:i])
+                counts.setdefault(context, Counter())[stream[i]] += 1
+
+        @cache
+        def p(context, s):
+            if context is None:
+                base = np.full(language.SYMBOLS, 1 / 256)
+                base[-1] = shared / 256
+                return base[s] / base.sum()
+            shorter = context[1:] if context else None
+            here = counts.get(context)
+            if not here:
+                return p(shorter, s)
+            n, kinds = sum(here.values()), len(here)
+            if s in here:
+                return here[s] / (n + kinds)
+            rest = sum(p(shorter, t) for t in range(language.SYMBOLS) if t not in here)
+            return kinds / (n + kinds) * p(shorter, s) / rest
+
+        coded = [symbol[10]] * 3 + [symbol[c] for c in text.encode()]
+        bits = 0.0
+        for i in range(3, len(coded)):
+            bits -= np.log2(p(tuple(coded[i - 3:i]), coded[i]))
+            bits += np.log2(shared) if coded[i] == language.SYMBOLS - 1 else 0
+        return bits
+
+    for text in ("the chat", "zzz", "la dog\nsat é"):
+        assert np.allclose(model.code_lengths(text), [plain("a", text), plain("b", text)], rtol=1e-5)
+    assert model.predict("the the the")[0] == "a" and model.predict("le chien")[0] == "b"
+    assert [model.predict(t)[0] for t in (None, "", "12 !?")] == ["und"] * 3
+    long = "the cat " * 300_000
+    assert np.allclose(model.code_lengths(long)[0],
+                       3 * model.code_lengths(long[:len(long) // 3])[0], rtol=1e-3)
+
+
+def test_languages_edge_rows(spark):
+    docs = edge_table(spark).withColumn("lang", F.when(F.col("doc_id") > 3, "xx"))
+    model = language.fit_languages(docs)
+    found = language.languages(docs, model).collect()
+    assert len(found) == len(EDGES) + 3 and {r.lang_pred for r in found} == {"xx", "und"}
+    assert language.keep_identified(docs, model).columns == docs.columns
+    empty = language.fit_languages(docs.where("false"))
+    assert {r.lang_pred for r in language.languages(docs, empty).collect()} == {"und"}
+    assert language.languages(docs.where("false"), model).count() == 0
+
+
+# --- licences ---
+
+def test_license_places_equal_plain_search(spark, texts):
+    phrases = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
+    cases = texts + EDGES + [
+        "CC-BY cc by nc; CC BY", "All Rights Reserved. all rights  reserved",
+        "GNU General Public\nLicense", "allrights reserved", "all rights reservedé", "cc cc by by",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy"
+        " of this software and documentation files"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.license_summary(licenses.license_scan(docs)).collect()}
+    for i, text in enumerate(cases):
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        places = [(k, label) for label, p in phrases.items() for k in range(len(words))
+                  if words[k:k + len(p.split())] == p.split()]
+        r = found[i]
+        assert (r.n_words, r.n_base) == (len(words), len(places)), text
+        assert r.first_word == min((k for k, _ in places), default=None)
+        assert r.last_word == max((k for k, _ in places), default=None)
+        assert r.base_labels == ",".join(sorted({label for _, label in places}))
+        assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(","))
+        assert 0 <= r.score <= 1
+    assert found[len(cases) - 1].labels == "mit" and found[len(cases) - 1].score < 1
+
+
+def test_license_edge_rows(spark):
+    assert licenses.license_scan(edge_table(spark)).count() == len(EDGES) + 3
+    assert licenses.license_summary(licenses.license_scan(no_rows(spark))).count() == 0
+    with pytest.raises(ValueError):
+        licenses.license_scan(no_rows(spark), [licenses.Template("x", "...")])
+
+
+# --- toxicity ---
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    found = QUERIES["op7_toxicity"](spark, sf).where("held_out").join(labels, "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in found)
+    toxic, clean = ([r for r in found if r.toxic == k] for k in (1, 0))
+    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
+    assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in found)
+
+
+def test_misspellings_share_parts():
+    clean = [f"the quiet {a} walks to the {b}" for a in ("man", "dog", "cat") for b in
+             ("house", "river", "market", "garden")]
+    toxic = [t + " you pathetic idiot" for t in clean]
+    model = toxicity.train(clean + toxic, np.array([0] * 12 + [1] * 12))
+    assert model.score("such patthetic idiots here") > model.score("such lovely people here")
+    again = toxicity.train((clean + toxic)[::-1], np.array(([0] * 12 + [1] * 12)[::-1]))
+    assert np.isclose(again.score("an idiot"), model.score("an idiot"))
+
+
+def test_ngrams_of_words():
+    bucket, counts = toxicity.ngrams(["ab", "éa", "ab"])
+    assert counts.tolist() == [3, 3, 3]
+    assert bucket[:3].tolist() == bucket[6:].tolist() != bucket[3:6].tolist()
+
+
+def test_toxicity_edge_rows(spark):
+    docs = edge_table(spark)
+    for rows in ([], [(4, 1)], [(4, 1), (5, 0), (None, 1), (6, None), (5, 0)]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        found = toxicity.toxicity(docs, toxicity.fit_toxicity(docs, labels)).collect()
+        assert len(found) == len(EDGES) + 3 and all(0 <= r.score <= 1 for r in found)
+        assert len({r.score for r in found if r.doc_id == 0}) == 1
+
+
+# --- URLs ---
+
+def test_url_rules(spark):
+    cases = {
+        "http://a.Example.ORG/es/x": ("a.example.org", "/es/x", "example.org/es/", "block"),
+        "http://example.org/en/123?q#f": ("example.org", "/en/123", "example.org/en/1", "block"),
+        "http://example.org/EN/1": ("example.org", "/EN/1", "org/", "allow"),
+        "x://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"),
+        "http://org": ("org", "", None, "allow"),
+        "http://.com/fr/": (".com", "/fr/", "com/fr/", "allow"),
+        "https://x.com/de/": ("x.com", "/de/", "com/de/", "block"),
+        "https://x.com?/de/": ("x.com", "", None, "allow"),
+        "http://cheap-pills.net/": ("cheap-pills.net", "/", None, "block"),
+        "http://pillsbury.net/": ("pillsbury.net", "/", None, "allow"),
+        "http://example.org:80/es/": ("example.org:80", "/es/", None, "allow"),
+        "no scheme": ("", "", None, "allow"), "": ("", "", None, "allow"),
+        "a://b://c/": ("b:", "//c/", None, "allow"),
+    }
+    rows = [(i, u, "q") for i, u in enumerate(cases)] + [(99, None, "q"), (0, next(iter(cases)), "q")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string")
+    found = urls.judge_urls(pages)
+    assert found.count() == len(rows)
+    by_id = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found.collect()}
+    assert [by_id[i] for i in range(len(cases))] == list(cases.values())
+    assert by_id[99] == ("", "", None, "allow")
+    assert urls.judge_urls(pages.where("false")).count() == 0
+    assert urls.judge_urls(pages, rules=[urls.Rule("r", "block", "zzz", ())]).count() == len(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+# --- pages ---
+
+PAGE = ("<!DOCTYPE html><html><head><title>t</title><script>var a='</p>';</script></head><body>"
+        "<nav><ul>{links}</ul></nav><div class='ad'>buy {n}</div><article><h1>Head {n}</h1>{body}"
+        "<div class=\"comments\"><p>first!</p></div></article><footer>&copy; site</footer>{end}")
+
+
+def page(n, paragraphs, end="</body></html>"):
+    body = "".join(f"<p>Text {n} <b>no</b>&nbsp;{k} &lt;x&gt;</p>" for k in range(paragraphs))
+    return PAGE.format(n=n, links="".join(f"<li><a href='/{k}'>l{k}</a></li>" for k in range(4)),
+                       body=body, end=end)
+
+
+def test_main_text(spark):
+    rows = [(n, f"http://one.org/{n}", page(n, n % 5, "" if n % 3 == 0 else "</body></html>"))
+            for n in range(12)]
+    rows += [(20, "http://two.org/", page(20, 2)), (21, None, page(21, 1)), (22, "http://x/", None),
+             (23, "http://x/", ""), (24, "http://x/", "<p>only <p>text"), (0, "http://one.org/0", rows[0][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = wrappers.main_texts(pages.withColumn("text", F.lit("clash"))).collect()
+    assert len(found) == len(rows)
+    texts = {r.page_id: r.text for r in found}
+    for n in [*range(12), 20, 21]:
+        k = {20: 2, 21: 1}.get(n, n % 5)
+        assert texts[n] == "\n".join([f"Head {n}", *(f"Text {n} no {i} <x>" for i in range(k))])
+    assert texts[22] == texts[23] == "" and texts[24] == "only\ntext"
+    assert wrappers.main_texts(pages.where("false")).count() == 0
+
+
+def test_wrapper_generalises():
+    wrapper = wrappers.Wrapper()
+    for html in (page(1, 3), page(2, 1), page(3, 0)):
+        wrapper.learn(wrappers.parse(html)[0])
+    shape = " ".join(n.shape() for n in wrapper.nodes)
+    assert "(li a # /a /li)+" in shape and shape.count("(p # b # /b # /p)+") == 1
+    constant = [n.value for n in wrapper.nodes if n.kind == wrappers.TEXT and n.value]
+    assert any("site" in c for c in constant) and not any("Head" in c for c in constant)
+    again = wrappers.Wrapper.unpacked(wrapper.packed())
+    assert again.packed() == wrapper.packed()
+
+
+def test_main_text_of_given_pages(spark):
+    from html import unescape
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    texts = {r.page_id: r.text for r in QUERIES["op2_html"](spark, SF).collect()}
+    for r in pages:
+        inner = re.sub(r"(?s).*?<article>|</article>.*", "", r.html)
+        blocks = re.split(r"<[^>]*>", re.sub(r"</?b>", "", inner.replace("<br>", " ")))
+        plain = [" ".join(unescape(b).split()) for b in blocks]
+        assert texts[r.page_id] == "\n".join(b for b in plain if b)
