@@ -88,26 +88,26 @@ def read_csv_with_inferred_types(spark, sf_dir):
     return read_csv_inferred(spark, path).withColumn("p_partkey", F.col("p_partkey").cast("long"))
 
 
-@query("write_csv",
-       "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query("write_csv", "SELECT * FROM orders")
 def write_csv_in_files(spark, sf_dir):
     """Four files with the orders sorted by price across them."""
-    path = scratch_path(spark, "csv")
-    orders = table(spark, sf_dir, "orders")
-    kept = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    write_csv(kept, path, num_files=4, sort_by=["o_totalprice", "o_orderkey"])
-    return read_delimited(spark, path, kept.schema, header=True)
+    path, orders = scratch_path(spark, "csv"), table(spark, sf_dir, "orders")
+    write_csv(orders, path, num_files=4, sort_by=["o_totalprice", "o_orderkey"])
+    return read_delimited(spark, path, orders.schema, header=True)
+
 
+@query("write_csv_one_file", "SELECT * FROM orders")
+def write_csv_in_one_file(spark, sf_dir):
+    """Unsorted, in the one file that is the default."""
+    path, orders = scratch_path(spark, "csv"), table(spark, sf_dir, "orders")
+    write_csv(orders, path, num_files=1)
+    return read_delimited(spark, path, orders.schema, header=True)
 
-@query("write_parquet",
-       "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
+
+@query("write_parquet", "SELECT * FROM lineitem")
 def write_parquet_plain(spark, sf_dir):
     path = scratch_path(spark, "parquet")
-    write_parquet(
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"),
-        path,
-    )
+    write_parquet(table(spark, sf_dir, "lineitem"), path)
     return spark.read.parquet(path)
 
 
