@@ -10,9 +10,11 @@ from ..operators import global_average, lift_nested_field
 from ..schemas import DATED_MOVIES, MOVIES, RATINGS
 from ..sinks import write_parquet
 from ..sources import (
-    job_param, read_delimited, read_json, read_sse, read_stream_output, stream_sse,
+    job_param, read_delimited, read_json, read_sse, read_stream_output,
+)
+from ..streaming import (
+    kafka_sink, kafka_source, line_source, stream_sse, stream_to_console, stream_to_parquet,
 )
-from ..streaming import kafka_sink, kafka_source, line_source, stream_to_console, stream_to_parquet
 from .edits import article_edit_counts, page_edit_counts
 from .feed import change_messages
 from .reports import ratings_report as report
@@ -90,12 +92,15 @@ def latest_counts(spark: SparkSession) -> Result:
 def feed_messages(spark: SparkSession) -> Result:
     """Captured change feed to a topic; goes on as files are added if there is a checkpoint."""
     path = job_param(spark, "feed_path")
+    servers, topic = job_param(spark, "kafka_bootstrap_servers"), job_param(spark, "kafka_topic")
     checkpoint = job_param(spark, "checkpoint_dir", "")
-    blocks = stream_sse(spark, path) if checkpoint else read_sse(spark, path)
-    return kafka_sink(
-        change_messages(blocks), job_param(spark, "kafka_bootstrap_servers"),
-        job_param(spark, "kafka_topic"), checkpoint or None,
-    )
+
+    def send(events: DataFrame, epoch_id: int = 0) -> None:
+        kafka_sink(change_messages(events), servers, topic)
+
+    if checkpoint:
+        return stream_sse(spark, path, send, checkpoint)
+    return send(read_sse(spark, path))
 
 
 def _top(spark: SparkSession) -> int | None:

@@ -1,8 +1,7 @@
 from .files import (
     read_csv_inferred, read_delimited, read_json, read_sse, read_stream_output, stream_parquet,
-    stream_sse,
 )
 from .params import job_param
 
 __all__ = ["job_param", "read_csv_inferred", "read_delimited", "read_json", "read_sse",
-           "read_stream_output", "stream_parquet", "stream_sse"]
+           "read_stream_output", "stream_parquet"]

@@ -84,14 +84,6 @@ def _joined(*columns: str) -> Column:
     return F.array_join(F.transform(rows, lambda row: row["value"]), "\n").alias("value")
 
 
-def stream_sse(spark: SparkSession, path: str, **options) -> DataFrame:
-    """As ``read_sse``, for a directory that captured files are added to.
-
-    Each file is one row of text, so they should be closed at a moderate size.
-    """
-    return spark.readStream.options(**options).text(path, wholetext=True)
-
-
 def stream_parquet(spark: SparkSession, path: str, schema: StructType | None = None,
                    **options) -> DataFrame:
     """A growing directory of Parquet files as a stream; the schema is that of the files there."""

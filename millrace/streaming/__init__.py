@@ -1,7 +1,8 @@
 from .sinks import (
-    jdbc_batch_writer, kafka_sink, stream_to_console, stream_to_jdbc, stream_to_parquet,
+    jdbc_batch_writer, kafka_sink, stream_sse, stream_to_console, stream_to_jdbc,
+    stream_to_parquet,
 )
 from .sources import kafka_source, line_source
 
-__all__ = ["jdbc_batch_writer", "kafka_sink", "kafka_source", "line_source", "stream_to_console",
-           "stream_to_jdbc", "stream_to_parquet"]
+__all__ = ["jdbc_batch_writer", "kafka_sink", "kafka_source", "line_source", "stream_sse",
+           "stream_to_console", "stream_to_jdbc", "stream_to_parquet"]

@@ -8,11 +8,12 @@ every executor and the next driver can reach; it belongs to one query.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.windows import flatten_window
+from ..sources.files import read_sse
 
 
 def stream_to_parquet(df: DataFrame, path: str, checkpoint: str,
@@ -91,6 +92,30 @@ def jdbc_batch_writer(url: str, table: str, driver: str, user: str | None = None
     return write
 
 
+def stream_sse(spark: SparkSession, path: str, write: Callable[[DataFrame, int], object],
+               checkpoint: str, trigger: dict | None = None,
+               files_per_batch: int = 1000) -> StreamingQuery:
+    """Hand the events of captured files to ``write(events, batch number)`` as files are added.
+
+    The stream itself holds file names only, at most ``files_per_batch`` at a time; the files of a
+    batch are then read by line in as many tasks as they have splits, see ``sources.read_sse``.  A
+    batch may come again after a failure, with the same number and files.
+    """
+    names = spark.readStream.format("binaryFile").schema(_FILE_NAMES).option(
+        "maxFilesPerTrigger", files_per_batch).load(path).select("path")
+
+    def read(batch: DataFrame, epoch_id: int) -> None:
+        files = [row.path for row in batch.collect()]
+        if files:
+            write(read_sse(batch.sparkSession, files), epoch_id)
+
+    return _writer(names, trigger, checkpoint).foreachBatch(read).start()
+
+
+# The reader's own schema, which a stream has to name; only the path is read.
+_FILE_NAMES = "path string, modificationTime timestamp, length long, content binary"
+
+
 def _writer(df: DataFrame, trigger: dict | None, checkpoint: str | None) -> DataStreamWriter:
     writer = df.writeStream.outputMode("append")
     if trigger:

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import decode_sse, normalise_recentchange
 from millrace.plans import article_edit_counts, change_messages
-from millrace.sources import read_sse, stream_sse
-from millrace.streaming import stream_to_parquet
+from millrace.sources import read_sse, stream_parquet
+from millrace.streaming import stream_sse, stream_to_parquet
 from millrace.workspace import scratch_path
 
 from .edits import EDIT_COUNTS, counts_sql, numbered
@@ -117,9 +117,15 @@ def feed_counts(spark, sf_dir):
 
 @query("stream_feed_counts", counts_sql(COUNTED, "6 hours", "page_title", "10 minutes", EDIT_COUNTS))
 def stream_feed_counts(spark, sf_dir):
-    """The same over a stream of captured files."""
-    path = scratch_path(spark, "counts")
-    messages = change_messages(stream_sse(spark, capture(spark, sf_dir)))
+    """The same over a stream of captured files, with the messages of each batch in a folder."""
+    path, inbox = scratch_path(spark, "counts"), scratch_path(spark, "inbox")
+
+    def write(events, epoch_id):
+        change_messages(events).write.mode("overwrite").parquet(f"{inbox}/batch={epoch_id}")
+
+    stream_sse(spark, capture(spark, sf_dir), write, scratch_path(spark, "checkpoint"),
+               {"availableNow": True}).awaitTermination()
+    messages = stream_parquet(spark, inbox)
     stream_to_parquet(
         article_edit_counts(messages, width="6 hours"), path, scratch_path(spark, "checkpoint"),
         trigger={"availableNow": True},

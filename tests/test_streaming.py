@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from millrace.operators import encode_messages, flatten_window, words
 from millrace.plans import article_edit_counts, page_edit_counts
 from millrace.schemas import KAFKA_MESSAGE
-from millrace.sources import read_stream_output, stream_parquet, stream_sse
+from millrace.sources import read_stream_output, stream_parquet
 from millrace.streaming import (
-    jdbc_batch_writer, kafka_sink, kafka_source, line_source, stream_to_console, stream_to_jdbc,
+    jdbc_batch_writer, kafka_sink, kafka_source, line_source, stream_sse, stream_to_console,
+    stream_to_jdbc,
     stream_to_parquet,
 )
 
@@ -159,9 +160,23 @@ def test_captured_feed_as_a_stream(spark, tmp_path):
     inbox, out = tmp_path / "inbox", str(tmp_path / "out")
     inbox.mkdir()
     (inbox / "feed.txt").write_text("data: {\"id\": 1}\n\ndata: {\n\nevent: x\ndata: {\"id\": 2}\n\n")
-    messages = change_messages(stream_sse(spark, str(inbox)))
-    stream_to_parquet(messages, out, str(tmp_path / "checkpoint"), trigger=ONCE).awaitTermination()
-    assert [row.key for row in spark.read.parquet(out).collect()] == ["1"]
+    (inbox / "a b.txt").write_text("".join(f"data: {{\"id\": {i}}}\n\n" for i in range(10, 400)))
+    parts = []
+
+    def write(events, epoch_id):
+        parts.append(events.rdd.getNumPartitions())
+        change_messages(events).write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        stream_sse(spark, str(inbox), write, str(tmp_path / "checkpoint"), ONCE).awaitTermination()
+        (inbox / "later.txt").write_text("data: {\"id\": 2}\n")
+        stream_sse(spark, str(inbox), write, str(tmp_path / "checkpoint"), ONCE).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    keys = sorted(int(row.key) for row in spark.read.parquet(out).collect())
+    assert keys == [1, 2, *range(10, 400)]
+    assert len(parts) == 2
 
 
 def rate(spark):
