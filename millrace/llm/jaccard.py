@@ -411,8 +411,8 @@ def join_blocks(placed: DataFrame, sets: DataFrame, known: DataFrame, num: int,
     main = parts.groupBy("region").agg(F.max_by("component", F.struct("count", "component"))
                                        .alias("main"), F.count("*").alias("parts"))
     # Regions that are connected already hold no further link.
-    open_ = labelled.join(F.broadcast(stored(main.where("parts > 1"), "main")), "region") \
-        .withColumn("inside", F.col("component") == F.col("main"))
+    open_ = join_salted(labelled, stored(main.where("parts > 1"), "main"), ["region"],
+                        F.col("id")).withColumn("inside", F.col("component") == F.col("main"))
     sizes = stored(open_.groupBy("region", "inside", "home").count(), "sizes")
     cell = F.pmod(F.xxhash64("id", F.lit("cell")),
                   F.ceil(F.col("count") / BLOCK_DOCS)).cast("bigint")
