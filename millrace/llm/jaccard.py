@@ -49,7 +49,7 @@ PIVOTS = 8
 PLACES = 1 << 23
 COMMON = 4
 #: Shingles that a task counts at a time.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 #: One shingle more is looked at for so many that a document has.
 SPARE = 4
 #: Most ids sent to all executors; beyond it the join is left to the planner.

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -36,7 +37,7 @@ CAPACITY = 2048
 END = 0
 ROUNDS = 60
 #: A worker remembers between one and two times so many words.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 #: The character beyond which words are left to the slower library that defines the ids.
 COMMON = "ɏ"
 
@@ -50,11 +51,9 @@ class WordTokens:
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
-        self.fast = None
+        self.path, self.library, self.fast = path, None, None
+        with open(path, encoding="utf-8") as file:
+            self.special = [token["content"] for token in json.load(file).get("added_tokens", [])]
         if ranks_path:
             import tiktoken
 
@@ -65,13 +64,20 @@ class WordTokens:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> bytes:
-        if self.fast is not None and (not text or max(text) <= COMMON):
-            ids = self.fast.encode_ordinary(text)
-        else:
-            ids = self.exact.encode(text, add_special_tokens=False).ids
+    def exact(self, text: str) -> bytes:
+        """The ids by the library itself, which is loaded when it is first needed."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _encode(self, text: str) -> bytes:
+        if self.fast is None or text and max(text) > COMMON:
+            return self.exact(text)
+        return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+
     def remember(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
@@ -85,7 +91,7 @@ class WordTokens:
         if not text:
             return b""
         if any(token in text for token in self.special):
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self.exact(text)
         words, get = text.split(" "), self.words.get
         if "" in words or not text.isascii() and any(
                 word[0].isspace() or word[-1].isspace() for word in words):
