@@ -29,6 +29,8 @@ from .batches import column, map_batches, texts_of
 SPACE = "▁"
 #: A worker remembers between one and two times so many words.
 REMEMBERED = 200_000
+#: Longer words are encoded each time.
+LONGEST_REMEMBERED = 200
 # The piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -199,18 +201,21 @@ class PieceCodec:
         """The ids of a word as text, and the text that they decode to."""
         found = self.older.get(word)
         if found is None:
-            if len(word) > 2 and word[-2:] not in self.adjacent and word[-2] != SPACE:
-                # No piece has these two characters in a row, so no token goes over them.
-                head, tail = word[:-1], word[-1]
-                ids, text = self.words.get(head) or self.remember(head)
-                more, end = self.words.get(tail) or self.remember(tail)
-                found = f"{ids},{more}", text + end
+            # Where no piece has two characters in a row, no token goes over them.
+            cuts = [i for i in range(1, len(word))
+                    if word[i - 1:i + 1] not in self.adjacent and word[i - 1] != SPACE]
+            if cuts:
+                parts = [self.words.get(part) or self.remember(part) for part in
+                         (word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)]))]
+                found = ",".join([ids for ids, _ in parts]), "".join([text for _, text in parts])
             else:
                 numbers = self._word(word)
                 found = ",".join(map(self.digits.__getitem__, numbers)), self.pieces_text(numbers)
-        if len(self.words) >= REMEMBERED:
-            self.older, self.words = self.words, {}
-        self.words[word] = found
+        # Long runs seldom come again, and their parts are remembered.
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self.words) >= REMEMBERED:
+                self.older, self.words = self.words, {}
+            self.words[word] = found
         return found
 
     def encode(self, text: str | None) -> list[int]:

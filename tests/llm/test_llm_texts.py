@@ -59,6 +59,21 @@ def test_pieces_equal_the_library(texts):
         assert text_sum == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
+def test_long_runs_without_spaces_equal_the_library():
+    import sentencepiece
+
+    own, library = pieces.PieceCodec(pieces.read_model(MODEL)), sentencepiece.SentencePieceProcessor(
+        model_file=MODEL)
+    for unit in ("0123456789", "\n", "\t", "한국어문장", "ภาษาไทย", "中文句子", "日本語テスト", "😀", "ab1-"):
+        text = (unit * (100_000 // len(unit) + 1))[:100_000]
+        ids = library.encode(text)
+        n, ids_sum, text_sum = own.digest(text)
+        assert n == len(ids)
+        assert ids_sum == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert text_sum == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    assert sum(map(len, own.words)) < 10_000
+
+
 def test_pair_test_equals_merging():
     own = pieces.codec(MODEL)
     random.seed(4)
