@@ -215,7 +215,7 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = RO
     if full:
         use({capacity: 1}, full)
     # A pass leaves what rounding takes away and what the prices have not reached yet; passes go on
-    # while they place a good part, so what remains for the best fit does not grow with the corpus.
+    # while they place a good part.
     while left:
         before = sum(left.values())
         uses = fractional(left, capacity, rounds, rng)
@@ -224,35 +224,59 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = RO
                 use(dict(key), int(amount + 0.5))
         if sum(left.values()) > 0.8 * before:
             break
+    # What cannot fill sequences to the end: best fit alone, or after passes with configurations
+    # that leave room, whichever needs fewer sequences.
+    rest, rows, used, sequences = dict(left), list(plan.rows), dict(plan.used), plan.sequences
+    plain = Plan(capacity, sequences, rows, used)
+    best_fit(rest, capacity, plain)
+    while left:
+        before = sum(left.values())
+        uses = fractional(left, capacity, rounds, rng)
+        for key, amount in sorted(uses.items(), key=lambda item: (
+                sum(k * per for k, per in item[0]) < capacity, -item[1], item[0])):
+            use(dict(key), int(amount))
+        if sum(left.values()) > 0.5 * before:
+            break
     best_fit(left, capacity, plan)
-    return plan
+    return plan if plan.sequences < plain.sequences else plain
 
 
 def best_fit(left: dict[int, int], capacity: int, plan: Plan) -> None:
-    """Longest pieces first, each into the sequence with the least room that takes it."""
+    """Longest pieces first, each into the sequence with the least room that takes it.
+
+    Pieces of a length, and sequences filled alike, are placed by counts: a piece goes on filling
+    the sequence of the piece before it while there is room.  Each length adds a few kinds of
+    sequences at most, so the work depends on the number of lengths only.
+    """
     rooms: list[int] = []
-    open_at: dict[int, list[dict[int, int]]] = {}
+    open_at: dict[int, dict[tuple, int]] = {}
+
+    def put(room: int, taken: tuple, times: int) -> None:
+        if room not in open_at:
+            bisect.insort(rooms, room)
+            open_at[room] = {}
+        open_at[room][taken] = open_at[room].get(taken, 0) + times
+
     for length in sorted(left, reverse=True):
-        for _ in range(left[length]):
+        n = left[length]
+        while n:
             at = bisect.bisect_left(rooms, length)
             if at < len(rooms):
                 room = rooms[at]
-                taken = open_at[room].pop()
+                taken, there = open_at[room].popitem()
                 if not open_at[room]:
                     del open_at[room], rooms[at]
             else:
-                room, taken = capacity, {}
-            taken[length] = taken.get(length, 0) + 1
-            if room - length not in open_at:
-                bisect.insort(rooms, room - length)
-            open_at.setdefault(room - length, []).append(taken)
-    alike: dict[tuple, int] = {}
+                room, taken, there = capacity, (), n
+            per = min(room // length, n)
+            times = min(n // per, there)
+            put(room - per * length, (*taken, (length, per)), times)
+            n -= per * times
+            if there > times and taken:
+                put(room, taken, there - times)
     for room in sorted(open_at):
-        for taken in open_at[room]:
-            key = tuple(sorted(taken.items()))
-            alike[key] = alike.get(key, 0) + 1
-    for key, times in alike.items():
-        plan.add(dict(key), times)
+        for taken, times in open_at[room].items():
+            plan.add(dict(taken), times)
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None,

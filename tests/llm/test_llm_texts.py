@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 from functools import cache
@@ -160,6 +161,63 @@ def test_plan_places_every_piece_once(seed):
     assert plan.sequences <= plain.sequences * 1.005 + 1
 
 
+def sequences_filled(plan, counts):
+    """That each number of each length has one place and no sequence is too long."""
+    placed, filled = Counter(), np.zeros(plan.sequences, dtype=np.int64)
+    for length, low, high, first, per, _ in plan.rows:
+        assert low == placed[length] and (high - low) % per == 0
+        placed[length] = high
+        filled[first:first + (high - low) // per] += per * length
+    assert placed == counts and filled.max() <= plan.capacity and filled.min() > 0
+    return plan.sequences
+
+
+def test_plan_of_lengths_that_fill_no_sequence():
+    def driver_steps(counts):
+        """Lines of the best fit that run, whatever the machine."""
+        steps = 0
+
+        def trace(frame, event, arg):
+            nonlocal steps
+            if frame.f_code.co_name != "best_fit":
+                return None
+            steps += 1
+            assert steps < 100_000, "the best fit works piece by piece"
+            return trace
+
+        sys.settrace(trace)
+        try:
+            return sequences_filled(packing.make_plan(counts), counts)
+        finally:
+            sys.settrace(None)
+
+    assert driver_steps({700: 10**7}) == 5 * 10**6
+    assert driver_steps({700: 10**7 + 1}) == 5 * 10**6 + 1
+    long = {length: 10_000 for length in range(1025, 2048, 10)}
+    assert driver_steps(long) == sum(long.values())
+    # Best fit needs 11 sequences where 9 are enough.
+    hard = {1030: 60_000, 530: 60_000, 520: 60_000, 490: 120_000}
+    assert driver_steps(hard) <= 95_000
+
+
+def test_best_fit_by_counts_is_best_fit():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        capacity = int(rng.integers(5, 80))
+        counts = {int(k): int(rng.integers(1, 20)) for k in rng.integers(1, capacity + 1, 9)}
+        plan = packing.Plan(capacity)
+        packing.best_fit(dict(counts), capacity, plan)
+        rooms = []
+        for length in sorted(counts, reverse=True):
+            for _ in range(counts[length]):
+                fits = [r for r in rooms if r >= length]
+                room = min(fits) if fits else capacity
+                if fits:
+                    rooms.remove(room)
+                rooms.append(room - length)
+        assert sequences_filled(plan, counts) == len(rooms)
+
+
 def test_knapsack_prices_are_best():
     rng = np.random.default_rng(1)
     price = np.where(rng.random(31) < 0.4, rng.random(31), -np.inf)
