@@ -9,7 +9,8 @@ is a sum of table entries: exact, over the whole text, and without state between
 Capital ASCII letters are read as small ones and digits as one sign; bytes that the training rows
 use too rarely share one symbol and split its probability evenly.  A text that is null or has no
 letter is ``und``, and so is every text if there is nothing to learn from.  Ties go to the language
-that comes first in the alphabet.  Repeated rows and ids are judged row by row.
+that comes first in the alphabet.  Where only documents in a learned language are to stay, a text
+whose code is much longer than those of rows that were held apart is in none.  Repeated rows and ids are judged row by row.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .batches import column, map_batches, spread, texts_of, unused
@@ -28,6 +30,11 @@ SYMBOLS = 64
 #: About so many documents of each language are learned from.
 FIT_DOCUMENTS = 1_500
 UNKNOWN = "und"
+#: A text is in no learned language if a byte takes so many times the bits that it takes in all but
+#: a hundredth of the rows held apart; so many bits are free, as short texts tell little.
+MARGIN, FREE_BITS = 1.3, 128
+#: Languages with fewer rows held apart have no limit.
+LEAST_APART = 10
 #: Bytes of a text that are looked up at a time.
 BLOCK = 1 << 20
 
@@ -87,6 +94,8 @@ class LanguageModel:
     symbol: np.ndarray
     state: np.ndarray
     bits: np.ndarray
+    #: The most bits for a byte in each language, for :meth:`identified`.
+    limits: np.ndarray | None = None
 
     def code_lengths(self, text: str) -> np.ndarray:
         """Bits of the whole text in each language."""
@@ -107,13 +116,30 @@ class LanguageModel:
         best = int(np.argmin(bits))
         return self.names[best], float(1 / np.exp2(np.minimum(bits[best] - bits, 0)).sum())
 
+    def identified(self, text: str | None) -> bool:
+        """Whether the text is in one of the languages, as far as there are limits."""
+        if not self.names or not has_letter(text):
+            return False
+        if self.limits is None:
+            return True
+        best, rate = self.rate(text)
+        return rate <= self.limits[best]
+
+    def rate(self, text: str) -> tuple[int, float]:
+        """The number of the best language and the bits for a byte beyond the free ones."""
+        bits = self.code_lengths(text)
+        best = int(np.argmin(bits))
+        return best, float(bits[best] - FREE_BITS) / len(text.encode("utf-8", "surrogatepass"))
+
 
 def fit_languages(docs: DataFrame, learn: Column | None = None, text_col: str = "text",
                   lang_col: str = "lang", id_col: str = "doc_id",
-                  documents: int = FIT_DOCUMENTS) -> LanguageModel:
+                  documents: int = FIT_DOCUMENTS, limits: bool = False) -> LanguageModel:
     """Learn from about ``documents`` rows of each language, chosen by a hash of their ids.
 
-    ``learn`` restricts the rows.  Rows without language, or without a letter, teach nothing.
+    ``learn`` restricts the rows.  Rows without language, or without a letter, teach nothing.  With
+    ``limits`` a second model learns from one half of these rows and is measured on the other, so
+    that :meth:`LanguageModel.identified` can reject texts in no language.
     """
     usable = docs.select(
         column(id_col).alias("id"), column(text_col).alias("text"), column(lang_col).alias("lang"),
@@ -124,7 +150,8 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, text_col: str =
         return LanguageModel([], np.zeros(256, np.uint8), np.zeros(1, np.int32),
                              np.zeros((1, 0), np.float32))
     rate = F.create_map(*[F.lit(x) for lang, n in size.items() for x in (lang, documents / n)])
-    sample = usable.where(spread(F.col("id")) < rate[F.col("lang")]).select("lang", "text")
+    sample = usable.where(spread(F.col("id")) < rate[F.col("lang")]).select(
+        "lang", "text", ((spread(F.lit("apart"), F.col("id")) < 0.5) & F.lit(limits)).alias("apart"))
 
     def histogram(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: dict[str, np.ndarray] = {}
@@ -148,22 +175,47 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, text_col: str =
     shared = len(set(FOLD.tolist())) - len(own)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+        grams: dict[tuple[str, bool], list[np.ndarray]] = {}
+        for lang, text, apart in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)),
+                                     batch.column(2).to_pylist()):
             if has_letter(text):
-                grams.setdefault(lang, []).append(
+                grams.setdefault((lang, apart), []).append(
                     codes(text.encode("utf-8", "surrogatepass"), symbol))
         parts = []
-        for lang, arrays in grams.items():
+        for (lang, apart), arrays in grams.items():
             gram, n = np.unique(np.concatenate(arrays), return_counts=True)
-            parts.append(pa.record_batch({"lang": pa.array([lang] * len(gram)), "gram": gram,
+            parts.append(pa.record_batch({"lang": pa.array([lang] * len(gram)),
+                                          "apart": pa.array([apart] * len(gram)), "gram": gram,
                                           "n": n.astype(np.int64)}))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
 
     # The model: what was seen of four symbols, bounded by the alphabet and the sample.
-    found = map_batches(sample, count, "lang string, gram int, n bigint").groupBy(
-        "lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    return build_model(found, symbol, shared)
+    found = map_batches(sample, count, "lang string, apart boolean, gram int, n bigint").groupBy(
+        "lang", "apart", "gram").agg(F.sum("n").alias("n")).toArrow()
+    total = found.group_by(["lang", "gram"]).aggregate([("n", "sum")])
+    model = build_model(total.rename_columns(["lang", "gram", "n"]), symbol, shared)
+    learned = found.filter(pc.invert(found["apart"]))
+    if limits and len(learned):
+        model.limits = measure(sample.where("apart"), build_model(learned, symbol, shared), model.names)
+    return model
+
+
+def measure(sample: DataFrame, model: LanguageModel, names: list[str]) -> np.ndarray:
+    """The limits of ``names``, by how long the rows of ``sample`` are in the best language."""
+    shipped = sample.sparkSession.sparkContext.broadcast(model)
+
+    def rates(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shipped.value.rate(text) for text in texts_of(batch.column(1)) if has_letter(text)]
+        return pa.record_batch({
+            "lang": pa.array([shipped.value.names[best] for best, _ in found], pa.string()),
+            "rate": pa.array([rate for _, rate in found], pa.float64())})
+
+    # One row for each language.
+    usual = map_batches(sample, rates, "lang string, rate double").groupBy("lang").agg(
+        F.expr("percentile(rate, 0.99)").alias("rate"), F.count("*").alias("n")).collect()
+    found = {r.lang: MARGIN * max(r.rate, 0.0) for r in usual if r.n >= LEAST_APART}
+    # Where all rows are short the free bits cover them, and what is left is no measure.
+    return np.array([found.get(name) or np.inf for name in names])
 
 
 def build_model(grams: pa.Table, symbol: np.ndarray, shared: int) -> LanguageModel:
@@ -202,7 +254,7 @@ def languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a language, with all their columns."""
+    """The rows of ``docs`` in a language of the model, with all their columns."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
     flag = unused(docs, "kept")
@@ -210,7 +262,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shipped.value
-        return batch.filter(pa.array([model.predict(text)[0] != UNKNOWN
-                                      for text in texts_of(batch.column(place))], pa.bool_()))
+        return batch.filter(pa.array([model.identified(text) for text in texts_of(batch.column(place))], pa.bool_()))
 
     return map_batches(marked, keep, marked.schema).drop(flag)

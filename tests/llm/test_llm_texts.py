@@ -376,6 +376,26 @@ def test_languages_edge_rows(spark):
     assert language.languages(docs.where("false"), model).count() == 0
 
 
+def test_noise_and_other_languages_are_rejected(spark):
+    import base64
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        "doc_id", "text", "lang")
+    model = language.fit_languages(docs, limits=True)
+    rng = random.Random(5)
+    other = [base64.b64encode(rng.randbytes(600)).decode(), rng.randbytes(500).hex(),
+             "".join(rng.choices("abcdefghijklmnopqrstuvwxyz   ", k=800)),
+             "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 3,
+             "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. " * 3, None, "12"]
+    both = docs.unionByName(spark.createDataFrame(
+        [(-1 - i, t, None) for i, t in enumerate(other)], docs.schema))
+    kept = {r.doc_id for r in language.keep_identified(both, model).select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.collect() if language.has_letter(r.text)}
+    assert kept == clean
+    assert {r.lang_pred for r in language.languages(both, model).where("doc_id between -5 and -1")
+            .collect()} <= set(model.names)
+
+
 # --- licences ---
 
 def test_license_places_equal_plain_search(spark, texts):
