@@ -5,10 +5,10 @@ streams of a host's pages are aligned one after the other with what came out so
 match, texts that differ become slots, repeated groups are aligned inside, and what only one side
 has becomes optional.  The result, the host's wrapper, has no unions and accepts all its pages.
 
-In the wrapper the main region is what lies in ``article`` or ``main``; a wrapper without these has
-it in its slots, as text that never changes is the site's and not the page's.  Menus, headers,
+The main region of a page is what lies in its ``article`` or ``main``; a page without these has it
+in the slots of the wrapper, as text that never changes is the site's and not the page's.  Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
-element, role or class.  A page's text is what aligns with the main region of its host's wrapper.
+element, role or class.  Each page is judged by its own elements and by what it aligns with in its host's wrapper.
 
 Wrappers are built where the pages lie, and merged in two steps, so that a host with very many
 pages is no single group; which pages come first changes the wrapper's optional parts, not what it
@@ -252,34 +252,43 @@ def note(node: Node, placed: list) -> None:
             note(inner, placed)
 
 
-def main_slots(wrapper: list[Node], pages: int) -> set[int]:
-    """The identities of the text nodes in the main region."""
-    flat: list[Node] = []
+def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
+    """For each text node of a page in order, whether it is main text.
 
-    def flatten(nodes: list[Node]) -> None:
+    ``slots`` says which of them the host's wrapper has as slots.  They decide on pages without
+    article or main: constant texts are the site's where they lie outside the element that holds
+    the slots.
+    """
+    texts, open_tags = [], []
+    has_main = False
+
+    def read(nodes: list[Node]) -> None:
+        nonlocal has_main
         for node in nodes:
-            flatten(node.value) if node.kind == REPEAT else flat.append(node)
-
-    flatten(wrapper)
-    has_main = any(n.kind == TAG and n.value.partition(" ")[0] in MAIN for n in flat)
-    found, open_tags = set(), []
-    for node in flat:
-        if node.kind == TEXT:
-            in_main = any(name in MAIN for name, _ in open_tags)
-            aside = any(aside for _, aside in open_tags)
-            if not aside and (in_main if has_main else node.value is None or pages < 2):
-                found.add(id(node))
-            continue
-        name, _, words = node.value.partition(" ")
-        if name[0] == "/":
-            names = [n for n, _ in open_tags]
-            if name[1:] in names:
-                del open_tags[len(names) - 1 - names[::-1].index(name[1:]):]
-        elif name not in VOID and name not in INLINE and name not in ("p", "li", "html", "body"):
+            if node.kind == REPEAT:
+                read(node.value)
+                continue
+            if node.kind == TEXT:
+                texts.append(tuple(open_tags))
+                continue
+            name, _, words = node.value.partition(" ")
+            if name[0] == "/":
+                names = [n for n, _ in open_tags]
+                if name[1:] in names:
+                    del open_tags[len(names) - 1 - names[::-1].index(name[1:]):]
+                continue
+            if name in VOID or name in INLINE or name in ("p", "li", "html", "body"):
+                continue
             # The title block of an article is part of it; a page's header is not.
             inner = name == "header" and any(n in MAIN for n, _ in open_tags)
+            has_main = has_main or name in MAIN
             open_tags.append((name, bool(words) or name in ASIDE and not inner))
-    return found
+
+    read(page)
+    kept = [not any(aside for _, aside in tags) for tags in texts]
+    if has_main:
+        return [keep and any(name in MAIN for name, _ in tags) for keep, tags in zip(kept, texts)]
+    return [keep and slot for keep, slot in zip(kept, slots)]
 
 
 class Wrapper:
@@ -347,13 +356,15 @@ class Extractor:
         self.packed = packed
         self.known: dict[str, list[bool]] = {}
 
-    def choices(self, page: list[Node]) -> list[tuple[bool, list[int]]]:
-        """For each text of the page in order of its alignment, whether it is main text."""
+    def slots(self, page: list[Node], place: dict[int, int]) -> list[bool]:
+        """For each text of the page, found by its first place, whether it stands in a slot."""
         wrapper = Wrapper.unpacked(self.packed)
-        placed: list = []
-        nodes = merge(wrapper.nodes, page, placed)
-        slots = main_slots(nodes, wrapper.pages)
-        return [(id(node) in slots, source) for node, source in placed]
+        found, placed = [wrapper.pages < 2] * len(place), []
+        merge(wrapper.nodes, page, placed)
+        for node, source in placed:
+            if source and node.value is None:
+                found[place[source[0]]] = True
+        return found
 
     def text(self, html: str | None) -> str:
         page, pieces = parse(html)
@@ -363,13 +374,10 @@ class Extractor:
             note(node, sources)
         main = self.known.get(shape)
         if main is None:
-            place = {source[0]: k for k, (_, source) in enumerate(sources) if source}
-            chosen = self.choices(page)
-            main = [False] * len(sources)
-            for is_main, source in chosen:
-                if source:
-                    main[place[source[0]]] = is_main
-            self.known[shape] = main
+            place = {source[0]: k for k, (_, source) in enumerate(sources)}
+            # The page is read before the alignment changes its groups.
+            plain = [Node.unpacked(node.packed()) for node in page]
+            main = self.known[shape] = main_texts_of(plain, self.slots(page, place))
         taken = {at for keep, (_, source) in zip(main, sources) if keep for at in source}
         blocks, block = [], []
         for at, piece in enumerate([*pieces, None]):

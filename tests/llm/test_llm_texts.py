@@ -527,6 +527,21 @@ def test_main_text(spark):
     assert wrappers.main_texts(pages.where("false")).count() == 0
 
 
+def texts_of_pages(spark, htmls, host="http://one.org/"):
+    pages = spark.createDataFrame([(n, host, html) for n, html in enumerate(htmls)],
+                                  "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrappers.main_texts(pages).collect()}
+
+
+def test_pages_of_a_host_with_and_without_article(spark):
+    divs = ["<html><body><div><h1>Title %d</h1><p>Words %d of it</p></div></body></html>" % (n, n)
+            for n in range(4)]
+    found = texts_of_pages(spark, divs + [page(n, 2) for n in range(4)])
+    for n in range(4):
+        assert found[n] == f"Title {n}\nWords {n} of it"
+        assert found[4 + n] == "\n".join([f"Head {n}", *(f"Text {n} no {i} <x>" for i in range(2))])
+
+
 def test_wrapper_generalises():
     wrapper = wrappers.Wrapper()
     for html in (page(1, 3), page(2, 1), page(3, 0)):
