@@ -6,7 +6,8 @@ match, texts that differ become slots, repeated groups are aligned inside, and w
 has becomes optional.  The result, the host's wrapper, has no unions and accepts all its pages.
 
 The main region of a page is what lies in its ``article`` or ``main``; a page without these has it
-in the slots of the wrapper, as text that never changes is the site's and not the page's.  Menus, headers,
+in the element that holds the slots of the wrapper, as text outside it that never changes is the
+site's and not the page's; pages that are all copies of one have no site's text to tell.  Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
 element, role or class.  Each page is judged by its own elements and by what it aligns with in its host's wrapper.
 
@@ -18,6 +19,7 @@ no host share one wrapper.  Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from html import unescape
@@ -54,6 +56,8 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "br", "cite", "code", "data", "del", "
           "i", "img", "input", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span",
           "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "base", "area", "col", "source"}
+REGIONS = {"div", "section"}
+TITLES = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ASIDE_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "complementary", "contentinfo", "cookie", "cookies", "disqus", "footer",
@@ -257,7 +261,7 @@ def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
 
     ``slots`` says which of them the host's wrapper has as slots.  They decide on pages without
     article or main: constant texts are the site's where they lie outside the element that holds
-    the slots.
+    the slots.  A page without slots is main text but for its side elements.
     """
     texts, open_tags = [], []
     has_main = False
@@ -282,24 +286,50 @@ def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
             # The title block of an article is part of it; a page's header is not.
             inner = name == "header" and any(n in MAIN for n, _ in open_tags)
             has_main = has_main or name in MAIN
-            open_tags.append((name, bool(words) or name in ASIDE and not inner))
+            open_tags.append([name, bool(words) or name in ASIDE and not inner])
 
     read(page)
     kept = [not any(aside for _, aside in tags) for tags in texts]
     if has_main:
         return [keep and any(name in MAIN for name, _ in tags) for keep, tags in zip(kept, texts)]
-    return [keep and slot for keep, slot in zip(kept, slots)]
+    held = [[tag for tag in tags if tag[0] in REGIONS]
+            for keep, slot, tags in zip(kept, slots, texts) if keep and slot]
+    region = list(held[0]) if held else []
+    for tags in held[1:]:
+        same = [a is b for a, b in zip(region, tags)]
+        region = region[:same.index(False) if False in same else len(same)]
+
+    def inside() -> list[bool]:
+        return [keep and (not region or any(tag is region[-1] for tag in tags))
+                for keep, tags in zip(kept, texts)]
+
+    # A part with titles only is not all of the text.
+    while region and all(any(tag[0] in TITLES for tag in tags)
+                         for keep, tags in zip(inside(), texts) if keep):
+        region.pop()
+    return inside()
 
 
 class Wrapper:
-    """A host's wrapper; alignments are remembered by the shape of pages."""
+    """A host's wrapper; alignments are remembered by the shape of pages.
+
+    ``only`` is the hash of its pages if they are all copies of one, "" if they are not, and None
+    without pages.
+    """
 
-    def __init__(self, nodes: list[Node] | None = None, pages: int = 0):
-        self.nodes, self.pages = nodes, pages
+    def __init__(self, nodes: list[Node] | None = None, only: str | None = None):
+        self.nodes, self.only = nodes, only
         self.known: dict[str, list] = {}
 
-    def learn(self, page: list[Node]) -> None:
-        self.pages += 1
+    def see(self, only: str | None) -> None:
+        if only is not None:
+            self.only = only if self.only in (None, only) else ""
+
+    def learn(self, page: list[Node], html: str | None = None) -> None:
+        if not page:
+            return
+        self.see("" if html is None else hashlib.blake2b(
+            html.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
         if self.nodes is None:
             self.nodes = page
             return
@@ -325,16 +355,16 @@ class Wrapper:
 
     def join(self, other: Wrapper) -> None:
         self.nodes = other.nodes if self.nodes is None else merge(self.nodes, other.nodes or [])
-        self.pages += other.pages
+        self.see(other.only)
         self.known.clear()
 
     def packed(self) -> str:
-        return json.dumps([self.pages, [node.packed() for node in self.nodes or []]])
+        return json.dumps([self.only, [node.packed() for node in self.nodes or []]])
 
     @staticmethod
     def unpacked(packed: str) -> Wrapper:
-        pages, nodes = json.loads(packed)
-        return Wrapper([*map(Node.unpacked, nodes)], pages)
+        only, nodes = json.loads(packed)
+        return Wrapper([*map(Node.unpacked, nodes)] or None, only)
 
 
 def count_texts(node: Node) -> int:
@@ -359,8 +389,8 @@ class Extractor:
     def slots(self, page: list[Node], place: dict[int, int]) -> list[bool]:
         """For each text of the page, found by its first place, whether it stands in a slot."""
         wrapper = Wrapper.unpacked(self.packed)
-        found, placed = [wrapper.pages < 2] * len(place), []
-        merge(wrapper.nodes, page, placed)
+        found, placed = [wrapper.only != ""] * len(place), []
+        merge(wrapper.nodes or [], page, placed)
         for node, source in placed:
             if source and node.value is None:
                 found[place[source[0]]] = True
@@ -404,7 +434,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
                 size += host not in found
-                found.setdefault(host, Wrapper()).learn(parse(html)[0])
+                found.setdefault(host, Wrapper()).learn(parse(html)[0], html)
                 if size > 20_000:
                     yield out()
                     found, size = {}, 0

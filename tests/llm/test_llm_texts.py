@@ -542,6 +542,19 @@ def test_pages_of_a_host_with_and_without_article(spark):
         assert found[4 + n] == "\n".join([f"Head {n}", *(f"Text {n} no {i} <x>" for i in range(2))])
 
 
+def test_copies_and_shared_paragraphs_stay(spark):
+    one = "<html><body><div><h1>Title</h1><p>Some <b>bold</b> words</p></div></body></html>"
+    for copies in (1, 2, 30):
+        assert set(texts_of_pages(spark, [one] * copies).values()) == {"Title\nSome bold words"}
+    shared = ("<html><body><div>Our site</div><div><h1>Title %d</h1><p>The same</p><p>Own <i>%d</i>"
+              "</p></div><div>Imprint</div></body></html>")
+    found = texts_of_pages(spark, [shared % (n, n) for n in range(4)])
+    assert found == {n: f"Title {n}\nThe same\nOwn {n}" for n in range(4)}
+    titles = "<body><div><h1>Title %d</h1></div><div><p>One text</p></div></body>"
+    assert set(texts_of_pages(spark, [titles % n for n in range(3)] + [None]).values()) == {
+        *(f"Title {n}\nOne text" for n in range(3)), ""}
+
+
 def test_wrapper_generalises():
     wrapper = wrappers.Wrapper()
     for html in (page(1, 3), page(2, 1), page(3, 0)):
