@@ -47,7 +47,7 @@ TOKEN = re.compile(
     r"|<(?P<tag>/?[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[a-z/!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.IGNORECASE | re.DOTALL)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 # Elements by what they do to text.
 MAIN = {"article", "main"}
@@ -64,6 +64,21 @@ ASIDE_WORDS = {
     "header", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo",
     "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
 }
+#: Words that leave the meaning of a word of ASIDE_WORDS beside them as it is.
+NEUTRAL_WORDS = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "global",
+    "google", "icon", "icons", "item", "items", "left", "level", "link", "links", "list",
+    "main", "media", "mobile", "primary", "right", "secondary", "site", "slot",
+    "sticky", "thread", "top", "unit", "widget", "widgets", "wrap", "wrapper",
+}
+#: Elements that end an open paragraph, and those that end others before them, by where they look.
+ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div",
+          "dl", "dt", "dd", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3",
+          "h4", "h5", "h6", "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "p", "pre",
+          "search", "section", "summary", "table", "ul"}
+ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
+        "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"table", "tr"}),
+        "th": ({"td", "th"}, {"table", "tr"}), "tr": ({"tr"}, {"table"})}
 TAG, TEXT, REPEAT = 0, 1, 2
 
 
@@ -99,13 +114,21 @@ class Node:
 
 
 def tag_token(tag: str, attrs: str) -> str:
-    """The tag with the words of its class, id and role that tell it from the main text."""
+    """The tag with the words of its class, id and role that tell it from the main text.
+
+    A word counts if it stands alone or with words that say no more than where and what kind the
+    element is, as in ``site-header`` or ``comment-list``, but not in ``no-sidebar``.
+    """
     name = tag.lower()
-    if not attrs or name[0] == "/":
+    if not attrs or name[0] == "/" or name in MAIN or name in ("html", "body"):
         return name
-    words = {word for found in ATTRIBUTE.findall(attrs)
-             for word in re.split(r"[^a-z]+", (found[1] or found[2] or found[3]).lower())}
-    return " ".join([name, *sorted(words & ASIDE_WORDS)])
+    words = set()
+    for found in ATTRIBUTE.findall(attrs):
+        for token in (found[1] or found[2] or found[3]).lower().split():
+            parts = {part for part in re.split(r"[^a-z]+", token) if part}
+            if parts <= ASIDE_WORDS | NEUTRAL_WORDS:
+                words |= parts & ASIDE_WORDS
+    return " ".join([name, *sorted(words)])
 
 
 def parse(html: str | None) -> tuple[list[Node], list[str | None]]:
@@ -256,6 +279,25 @@ def note(node: Node, placed: list) -> None:
             note(inner, placed)
 
 
+class Open:
+    """An open element of a page."""
+
+    __slots__ = ("name", "aside", "holds_main")
+
+    def __init__(self, name: str, aside: bool):
+        self.name, self.aside, self.holds_main = name, aside, False
+
+
+def close(open_tags: list[Open], names: set[str], within: set[str] = frozenset()) -> None:
+    """End the last of ``names``, with all in it, unless one of ``within`` was opened in it."""
+    for at in range(len(open_tags) - 1, -1, -1):
+        if open_tags[at].name in names:
+            del open_tags[at:]
+            return
+        if open_tags[at].name in within:
+            return
+
+
 def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
     """For each text node of a page in order, whether it is main text.
 
@@ -264,35 +306,47 @@ def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
     the slots.  A page without slots is main text but for its side elements.
     """
     texts, open_tags = [], []
-    has_main = False
+    mains: list[bool] = []
 
     def read(nodes: list[Node]) -> None:
-        nonlocal has_main
         for node in nodes:
             if node.kind == REPEAT:
                 read(node.value)
-                continue
-            if node.kind == TEXT:
+            elif node.kind == TEXT:
                 texts.append(tuple(open_tags))
-                continue
-            name, _, words = node.value.partition(" ")
-            if name[0] == "/":
-                names = [n for n, _ in open_tags]
-                if name[1:] in names:
-                    del open_tags[len(names) - 1 - names[::-1].index(name[1:]):]
-                continue
-            if name in VOID or name in INLINE or name in ("p", "li", "html", "body"):
-                continue
-            # The title block of an article is part of it; a page's header is not.
-            inner = name == "header" and any(n in MAIN for n, _ in open_tags)
-            has_main = has_main or name in MAIN
-            open_tags.append([name, bool(words) or name in ASIDE and not inner])
+            elif node.value[0] == "/":
+                close(open_tags, {node.value[1:]})
+            else:
+                start(*node.value.split(" "))
+
+    def start(name: str, *words: str) -> None:
+        if name in ENDS_P:
+            close(open_tags, {"p"})
+        if name in VOID or name in ("html", "body"):
+            return
+        if name in ENDS:
+            close(open_tags, *ENDS[name])
+        # The title block of an article is part of it; a page's header is not.
+        inner = any(tag.name in MAIN for tag in open_tags)
+        aside = name in ASIDE and not (inner and name == "header") or bool(words) and not (
+            inner and set(words) == {"header"})
+        if name in MAIN:
+            mains.append(not any(tag.aside for tag in open_tags))
+            for tag in open_tags:
+                tag.holds_main = True
+        open_tags.append(Open(name, aside))
 
     read(page)
-    kept = [not any(aside for _, aside in tags) for tags in texts]
-    if has_main:
-        return [keep and any(name in MAIN for name, _ in tags) for keep, tags in zip(kept, texts)]
-    held = [[tag for tag in tags if tag[0] in REGIONS]
+    # What holds all there is of main text is no side element.
+    free = any(mains)
+
+    def is_aside(tag: Open) -> bool:
+        return tag.aside and (free or not tag.holds_main)
+
+    kept = [not any(map(is_aside, tags)) for tags in texts]
+    if mains:
+        return [keep and any(tag.name in MAIN for tag in tags) for keep, tags in zip(kept, texts)]
+    held = [[tag for tag in tags if tag.name in REGIONS]
             for keep, slot, tags in zip(kept, slots, texts) if keep and slot]
     region = list(held[0]) if held else []
     for tags in held[1:]:
@@ -304,7 +358,7 @@ def main_texts_of(page: list[Node], slots: list[bool]) -> list[bool]:
                 for keep, tags in zip(kept, texts)]
 
     # A part with titles only is not all of the text.
-    while region and all(any(tag[0] in TITLES for tag in tags)
+    while region and all(any(tag.name in TITLES for tag in tags)
                          for keep, tags in zip(inside(), texts) if keep):
         region.pop()
     return inside()

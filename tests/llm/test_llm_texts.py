@@ -555,6 +555,40 @@ def test_copies_and_shared_paragraphs_stay(spark):
         *(f"Title {n}\nOne text" for n in range(3)), ""}
 
 
+ARTICLE = "<h1>Head</h1><p>One <b>two</b></p><p>Three</p>"
+
+
+@pytest.mark.parametrize("html", [
+    "<article class='post comments-open'>%s</article>", "<main class='has-sidebar'>%s</main>",
+    "<div class='no-sidebar'><article>%s</article></div>",
+    "<div id='share-content'><article>%s</article></div>",
+    "<div class='sidebar'><article id=header>%s</article></div>",
+    "<form id=f><main>%s</main></form>", "<div data-id='ad'><article>%s</article></div>",
+    "<aside><article>Related</article></aside><article>%s</article>",
+    "<article>%s<p class='ad'>buy<p class='promo'>more</article>",
+    "<article><p id=notice>cookies</p>%s</article>",
+    "<article>%s<ul><li class='promo'>buy</ul></article>",
+    "<article><span class='sponsored'>buy</span>%s</article>",
+    "<article>%s<p><span role='complementary'>buy</span></p></article>",
+    "<article><p class='ad'>buy<div>%s</div></article>",
+    "<article><div class='comment-list'>first</div>%s</article>",
+    "<div id='site-header'>Site</div><article>%s</article><div class='footer-widgets'>end</div>",
+    "<div id='site-header'>Site</div><div class='no-sidebar'>%s</div>",
+])
+def test_side_elements(html):
+    wrapper = wrappers.Wrapper()
+    html = f"<html><body class='single sidebar'>{html % ARTICLE}</body></html>"
+    wrapper.learn(wrappers.parse(html)[0], html)
+    assert wrappers.Extractor(wrapper.packed()).text(html) == "Head\nOne two\nThree"
+
+
+def test_marked_items_end_with_the_next():
+    html = "<article><ul><li class='promo'>buy<li>One<ul><li class=ad>x</ul> more<li>Two</ul></article>"
+    wrapper = wrappers.Wrapper()
+    wrapper.learn(wrappers.parse(html)[0], html)
+    assert wrappers.Extractor(wrapper.packed()).text(html) == "One\nmore\nTwo"
+
+
 def test_wrapper_generalises():
     wrapper = wrappers.Wrapper()
     for html in (page(1, 3), page(2, 1), page(3, 0)):
