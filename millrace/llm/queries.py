@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .batches import in_fold, table
 from .embeddings import near_vectors
 from .jaccard import jaccard_components
 from .language import fit_languages, languages
 from .licenses import license_scan, license_summary
+from .neighbours import nearest_vectors
 from .packing import pack
 from .pieces import piece_digests
 from .quality import fit_quality, quality_rules
+from .runs import periodic_runs
 from .toxicity import fit_toxicity, toxicity
 from .urls import judge_urls
 from .wrappers import main_texts
@@ -127,3 +129,36 @@ def op9_pieces(spark, sf_dir):
 def op10_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_neighbours(spark, sf_dir):
+    return nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def with_repeats(text: Column, doc_id: Column) -> Column:
+    """The text, in every tenth document (by a hash of its id) with a period from some word on."""
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    code, n = F.crc32(doc_id.cast("string")), F.size(words)
+    part = F.floor(code / 10)
+    start = (part % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + part % 8))).cast("int")
+    times = F.ceil((n - start) / period).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, start + 1, period), times))
+    repeated = F.slice(F.concat(F.slice(words, F.lit(1), start), tail), F.lit(1), n)
+    return F.when((code % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+@query
+def op13_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", with_repeats(F.col("text"), F.col("doc_id"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
