@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .alignment import align_tokenizers
 from .batches import in_fold, table
 from .embeddings import near_vectors
 from .jaccard import jaccard_components
@@ -136,6 +137,15 @@ def op11_neighbours(spark, sf_dir):
     return nearest_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_alignment(spark, sf_dir):
+    from public_tokenizers import PATTERN
+
+    return align_tokenizers(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+        vocabulary("byte_bpe_50k.tiktoken"), PATTERN, vocabulary("piece_bpe_32k.model"))
+
+
 def with_repeats(text: Column, doc_id: Column) -> Column:
     """The text, in every tenth document (by a hash of its id) with a period from some word on."""
     words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
