@@ -32,7 +32,7 @@ def cases(spark):
     """Name to (query, plain Spark or None); both return a frame."""
     from millrace.operators import decode_sse, normalise_recentchange
     from millrace.plans import article_edit_counts, page_edit_counts
-    from millrace.schemas import CHANGE, EDIT
+    from millrace.schemas import CHANGE, EDIT, RAW_CHANGE
     from millrace.sources import read_sse
 
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -78,23 +78,37 @@ def cases(spark):
         orders = table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
         return orders.withColumn("rank", F.rank().over(order))
 
+    def plain_large_groups():
+        order = Window.partitionBy("o_orderstatus").orderBy(F.desc("o_orderdate"))
+        orders = table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+        return orders.withColumn("rank", F.rank().over(order))
+
+    def plain_feed():
+        """Without line ends of other kinds, defaults and keys that are missing."""
+        data = F.regexp_extract("value", "(?s)data: (.*)", 1)
+        return spark.read.text(feed, lineSep="\n\n").select(
+            F.from_json(F.replace(data, F.lit("\ndata: "), F.lit("\n")), RAW_CHANGE).alias("c")) \
+            .select("c.*")
+
     registered = {
         name: lambda name=name: QUERIES[name](spark, SF_DIR)
         for name in (
             "ratings_report", "ratings_ranking", "global_average", "count_by",
             "ratings_report_from_files", "read_delimited_multichar", "read_csv_inferred",
-            "write_parquet", "lift_nested_field", "rank_within", "rank_within_whole_table",
+            "write_parquet", "lift_nested_field", "rank_within", "rank_within_large_groups",
+            "rank_within_whole_table",
             "word_counts", "windowed_edit_counts", "stream_page_counts", "stream_words",
         )
     }
     plain = {
         "ratings_report": plain_report, "rank_within": plain_rank, "word_counts": plain_words,
+        "rank_within_large_groups": plain_large_groups,
     }
     result = {name: (run, plain.get(name)) for name, run in registered.items()}
     result["page_edit_counts"] = (lambda: page_edit_counts(edits), plain_page_counts)
     result["article_edit_counts"] = (lambda: article_edit_counts(changes), plain_article_counts)
     result["feed_changes"] = (
-        lambda: normalise_recentchange(decode_sse(read_sse(spark, feed))), None
+        lambda: normalise_recentchange(decode_sse(read_sse(spark, feed))), plain_feed
     )
     return result
 

@@ -20,5 +20,9 @@ def iso_timestamp(text: Column) -> Column:
 
 
 def defaulted(value: Column, keys: Column, key: str, default) -> Column:
-    """``value``, or ``default`` where ``key`` is missing; an explicit JSON null stays NULL."""
-    return F.coalesce(value, F.when(~F.array_contains(keys, key), F.lit(default)))
+    """``value``, or ``default`` where ``key`` is missing; an explicit JSON null stays NULL.
+
+    NULL ``keys`` stand for none that is NULL.
+    """
+    missing = ~F.coalesce(F.array_contains(keys, key), F.lit(False))
+    return F.coalesce(value, F.when(missing, F.lit(default)))

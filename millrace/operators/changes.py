@@ -1,6 +1,10 @@
 """The raw change feed: server-sent event text to flat change rows."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from ..functions import WHITESPACE, defaulted, sse_last, sse_lines, sse_values, strip
 from ..schemas import RAW_CHANGE
@@ -14,6 +18,10 @@ MISSING_NAMESPACE = 0
 MISSING_FLAG = False
 MISSING_TIME = 0
 
+_DEFAULTED = ("type", "title", "user", "timestamp", "namespace", "comment", "bot", "minor", "wiki",
+              "server_name")
+_FRAMED = StructType([StructField("all", ArrayType(RAW_CHANGE)), StructField("end", BooleanType())])
+
 # The seconds a calendar of the years 1 to 9999 can hold.
 _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 
@@ -45,21 +53,32 @@ def normalise_recentchange(events: DataFrame, column: str = "data") -> DataFrame
     A missing key gets its default, an explicit null stays NULL.  ``event_time`` is the instant of
     ``timestamp`` (second 0 if that is missing), ``edit_size`` is new minus old length.  Text that
     is no JSON object is dropped.
+
+    The text is parsed once.  A second look, at its keys, is taken only where a field with a default
+    came out NULL although its name is somewhere in the text.
     """
-    # Spark's JSON functions stop reading after the first value; this tells if anything follows it.
-    one_value = F.json_array_length(F.concat(F.lit("["), F.col(column), F.lit("]"))) == 1
-    record = F.struct(
-        F.from_json(column, RAW_CHANGE).alias("raw"),
-        F.when(one_value, F.json_object_keys(column)).alias("keys"),
-    )
-    # A generator, so that the not-null test below does not parse the text a second time.
-    parsed = events.select(F.inline(F.array(record))).where(F.col("keys").isNotNull())
+    text = F.col(column)
+    # Spark's JSON functions stop reading after the first value.  In this frame whatever follows the
+    # object makes a second element or keeps the end from being reached.
+    framed = F.from_json(F.concat(F.lit('{"all":['), text, F.lit('],"end":true}')), _FRAMED)
+    # Generators, so that the tests below do not parse the text once more.
+    parsed = events.select(F.inline(F.array(F.struct(framed.alias("framed"), text.alias("text"))))) \
+        .where((F.col("framed.end") == F.lit(True)) & (F.size("framed.all") == 1)) \
+        .select(F.col("framed.all")[0].alias("raw"), "text").where(F.col("raw").isNotNull())
+
+    def maybe_null(name):
+        named = F.contains("text", F.lit(f'"{name}"')) | F.contains("text", F.lit("\\u"))
+        return F.col(f"raw.{name}").isNull() & named
+
+    unsure = reduce(or_, [maybe_null(name) for name in _DEFAULTED])
+    keyed = parsed.select(F.inline(F.array(F.struct(
+        "raw", F.when(unsure, F.json_object_keys("text")).alias("keys")))))
 
     def field(name, default):
         return defaulted(F.col(f"raw.{name}"), F.col("keys"), name, default)
 
     seconds = field("timestamp", MISSING_TIME)
-    return parsed.select(
+    return keyed.select(
         F.col("raw.id").alias("event_id"),
         field("type", MISSING_TYPE).alias("event_type"),
         field("title", MISSING_TEXT).alias("page_title"),

@@ -3,6 +3,11 @@
 Paths are handed to Spark as they are, so any configured file system works.
 """
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import AtomicType, StructType
 
@@ -44,38 +49,98 @@ def read_json(spark: SparkSession, path: str | list[str],
 def read_sse(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Captured event streams as one row of text per event, for ``operators.decode_sse``.
 
-    Files are read by line, so one large file is read by many tasks, and the lines are put together
-    again up to each blank one.  That is done per split of a file; only the first and the last piece
-    of a split may go on in the next one and are joined in a second step.  (A reader that cuts at two
-    newlines in a row would be simpler, but where a third one follows and a split ends among them it
-    gives the next event twice.)
+    Files are read by line, so one large file is read by many tasks, and the task that reads a split
+    puts its lines together again up to each blank one.  Only the first and the last piece of a split
+    may go on in the next one; these few are joined in a second step, for which the files are read
+    again, so that no event text is shuffled or stored.  (A reader that cuts at two newlines in a row
+    would be simpler, but where a third one follows and a split ends among them it gives the next
+    event twice.)
     """
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"),
+    lines = spark.read.text(path, lineSep="\n")
+    # Two sums stand for a file's path, which would be longer than most lines.
+    found = lines.select(
+        # Bytes, as lines need not be valid text.
+        F.col("value").cast("binary").alias("value"),
+        (strip(F.col("value")) == "").alias("blank"),
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.xxhash64(F.lit("second"), F.col("_metadata.file_path")).alias("file_2"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("at"),
-        "value",
-    )
-    in_split = Window.partitionBy("file", "split")
-    so_far = in_split.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A blank line is the first of its piece, so only piece 0 lacks one.
-    blanks = F.count_if(strip(F.col("value")) == "")
-    pieces = (
-        lines.withColumn("piece", blanks.over(so_far))
-        .withColumn("last", blanks.over(in_split))
-        .groupBy("file", "split", "piece", "last")
-        .agg(_joined("at", "value"))
     )
-    inside = (F.col("piece") > 0) & (F.col("piece") < F.col("last"))
+    inside = found.mapInArrow(lambda batches: _pieces(batches, edges=False), "value binary")
+    edges = found.mapInArrow(lambda batches: _pieces(batches, edges=True),
+                             "value binary, file long, file_2 long, split long, opens boolean") \
+        .withColumn("value", F.col("value").cast("string"))
     # At most two pieces per split, so even a huge file leaves little to put in order here.
-    in_file = Window.partitionBy("file").orderBy("split", "piece")
+    in_file = Window.partitionBy("file", "file_2").orderBy("split", "opens")
     over_splits = (
-        pieces.where(~inside)
-        .withColumn("event", F.count_if(F.col("piece") > 0).over(in_file))
-        .groupBy("file", "event")
-        .agg(_joined("split", "piece", "value"))
+        edges.withColumn("event", F.count_if("opens").over(in_file))
+        .groupBy("file", "file_2", "event")
+        .agg(_joined("split", "opens", "value"))
     )
-    return pieces.where(inside).select("value").unionByName(over_splits.select("value"))
+    return inside.select(F.col("value").cast("string")).unionByName(over_splits.select("value"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
+    """Lines in their order put together to pieces, each from a blank line up to the next.
+
+    Without ``edges`` the pieces that lie inside a split, as texts.  With ``edges`` the others: the
+    lines before the first blank one of a split, which a piece of the split before may go on in, and
+    its last piece; ``opens`` tells the two apart.  The open piece goes from batch to batch.
+    """
+    place: tuple | None = None
+    opens, texts = False, []
+
+    def closed(last: bool) -> list[tuple]:
+        """The open piece, if it is wanted."""
+        at_edge = last or not opens
+        return [(b"\n".join(texts), *place, opens)] if at_edge == edges and place else []
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value, blank, file, file_2, split = batch.columns
+        blank = blank.to_numpy(zero_copy_only=False)
+        where = [column.to_numpy() for column in (file, file_2, split)]
+        new_split = np.zeros(batch.num_rows, dtype=bool)
+        for column in where:
+            new_split[1:] |= column[1:] != column[:-1]
+        here = tuple(int(column[0]) for column in where)
+        new_split[0] = here != place
+        starts = np.flatnonzero(new_split | blank)
+        if not len(starts):
+            texts += value.to_pylist()
+            continue
+        texts += value.slice(0, starts[0]).to_pylist()
+        out = closed(bool(new_split[starts[0]]))
+        # Pieces that begin and end within the batch.
+        last = new_split[starts[1:]]
+        at_edge = last | ~blank[starts[:-1]]
+        wanted = np.flatnonzero(at_edge == edges)
+        if edges:
+            for k in wanted:
+                start, end = int(starts[k]), int(starts[k + 1])
+                out.append((b"\n".join(value.slice(start, end - start).to_pylist()),
+                            *(int(column[start]) for column in where), bool(blank[start])))
+            yield from _edge_rows(out)
+        else:
+            joined = pc.binary_join(pa.ListArray.from_arrays(
+                pa.array(starts, pa.int32()), value), b"\n").take(pa.array(wanted))
+            whole = pa.array([text for text, *_ in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([whole, joined])], ["value"])
+        start = int(starts[-1])
+        place, opens = tuple(int(column[start]) for column in where), bool(blank[start])
+        texts = value.slice(start).to_pylist()
+    out = closed(True)
+    if edges:
+        yield from _edge_rows(out)
+
+
+def _edge_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
+            ["value", "file", "file_2", "split", "opens"])
 
 
 def _joined(*columns: str) -> Column:

@@ -11,13 +11,18 @@ ORACLE = {}
 def query(name: str, sql: str):
     """Register ``fn(spark, sf_dir)`` under ``name``, with ``sql`` as its check.
 
-    Times are compared as UTC, so the session is set to that zone.
+    Times are compared as UTC, so the session has that zone while the query is made; the zone is
+    part of the plan from then on.
     """
     def register(fn):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            before = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", before)
 
         QUERIES[name], ORACLE[name] = run, sql
         return run

@@ -131,7 +131,7 @@ def test_messages_from_text(spark):
     by_key = {m.key: json.loads(m.value) for m in change_messages(blocks).collect()}
     assert by_key.keys() == {"3", None}
     assert by_key["3"] == {**DEFAULTS, "event_id": 3, "page_title": None,
-                           "event_time": "1970-01-01T00:00:00.000Z"}
+                           "event_time": "1970-01-01T00:00:00.000000Z"}
     assert by_key[None]["page_title"] == "t"
 
 
@@ -172,3 +172,35 @@ def test_random_events_survive_their_notation(spark, tmp_path, split_bytes):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted(got, key=repr) == sorted(events, key=repr)
+
+
+@pytest.mark.parametrize("lines", ["1", "3"])
+def test_events_over_batches(spark, tmp_path, lines):
+    """Events that go over the batches of a task, and files without or with blank lines only."""
+    (tmp_path / "a.txt").write_text("".join(f"id: {i}\ndata: a\ndata: {i}\n\n" for i in range(40)))
+    (tmp_path / "b.txt").write_text("\n\n\n")
+    (tmp_path / "c.txt").write_text("")
+    (tmp_path / "d.txt").write_text("data: x\ndata: y")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", lines)
+    try:
+        got = rows(decode_sse(read_sse(spark, str(tmp_path))))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == rows(decode_sse(spark.read.text(str(tmp_path), wholetext=True)))
+    assert len(got) == 41
+
+
+def test_only_ends_of_splits_are_shuffled(spark, tmp_path, plan):
+    (tmp_path / "a.txt").write_text("data: x\n\n" * 100)
+    shown = plan(read_sse(spark, str(tmp_path)))
+    assert shown.count("MapInArrow") == 2 and shown.index("Exchange") > shown.index("MapInArrow")
+
+
+def test_keys_are_looked_at_only_where_needed(spark):
+    """Names inside of other values, escaped names, and text after the object."""
+    found = normalised(
+        spark, '{"comment": "the \\"title\\" of it", "id": 1}', '{"\\u0074itle": null, "id": 2}',
+        '{"length": {"title": null}, "id": 3}', '{"id": 4}]', '{"id": 5}] {}', ' {"id": 6} ',
+        '{"id": 7}, "title": {}', '{"type": null, "id": 8, "type": "x"}')
+    assert {c["event_id"]: c["page_title"] for c in found} == {1: "", 2: None, 3: "", 6: "", 8: ""}
+    assert [c["event_type"] for c in found if c["event_id"] == 8] == ["x"]

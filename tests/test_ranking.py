@@ -125,3 +125,45 @@ def test_one_stored_table_and_any_column_names(spark, settings, tmp_path):
     assert got.columns == ["_rank", "k0", "a.b", "part", "row", "_k0"]
     want = rank_within(df, ["g"], ["v"])
     assert rows(got.drop("part", "row")) == rows(want)
+
+
+@pytest.mark.parametrize("batch", ["1", "2", "7"])
+@pytest.mark.parametrize("parts", [2, 9])
+def test_groups_over_batches_and_parts(spark, batch, parts, settings):
+    """The pass over sorted rows carries group and value from batch to batch."""
+    in_parts(spark, settings, parts)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    settings.callbacks.append((spark, "spark.sql.execution.arrow.maxRecordsPerBatch", before))
+    nan = float("nan")
+    values = [(i, g, v) for i, (g, v) in enumerate(
+        [(g, v) for g in (None, 0.0, nan, 2.5) for v in (None, -1.0, nan, nan, 7.0, 7.0, None)] * 3)]
+    df = spark.createDataFrame(values, "id int, g double, v double")
+    order = Window.partitionBy("g").orderBy("v")
+    # As text, since NaNs are not equal.
+    assert [*map(str, rows(rank_within(df, ["g"], ["v"])))] == [
+        *map(str, rows(df.withColumn("rank", F.rank().over(order).cast("long"))))]
+
+
+def test_nested_and_binary_keys(spark):
+    df = spark.range(200).select(
+        "id", F.struct((F.col("id") % 3).alias("a"), F.lit(None).cast("int").alias("b")).alias("g"),
+        F.array(F.col("id") % 5).alias("v"), F.encode((F.col("id") % 2).cast("string"), "UTF-8")
+        .alias("w"))
+    order = Window.partitionBy("g", "w").orderBy("v")
+    assert rows(rank_within(df, ["g", "w"], ["v"])) == rows(
+        df.withColumn("rank", F.rank().over(order).cast("long")))
+
+
+def test_rows_are_shuffled_once(spark, monkeypatch):
+    """By range, and not again for the ranks; what moves them is a few rows of each part."""
+    plans = []
+
+    def keep(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(ranking, "stored", keep)
+    df = spark.range(1000).selectExpr("id", "id % 7 as g", "id % 11 as v")
+    assert rank_within(df, ["g"], ["v"]).count() == 1000
+    assert plans[0].count("Exchange") == 1 and "rangepartitioning" in plans[0]
