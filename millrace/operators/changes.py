@@ -1,7 +1,7 @@
 """The raw change feed: server-sent event text to flat change rows."""
 
 from functools import reduce
-from operator import or_
+from operator import add
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
@@ -66,19 +66,19 @@ def normalise_recentchange(events: DataFrame, column: str = "data") -> DataFrame
         .where((F.col("framed.end") == F.lit(True)) & (F.size("framed.all") == 1)) \
         .select(F.col("framed.all")[0].alias("raw"), "text").where(F.col("raw").isNotNull())
 
-    def maybe_null(name):
-        named = F.contains("text", F.lit(f'"{name}"')) | F.contains("text", F.lit("\\u"))
-        return F.col(f"raw.{name}").isNull() & named
-
-    unsure = reduce(or_, [maybe_null(name) for name in _DEFAULTED])
-    keyed = parsed.select(F.inline(F.array(F.struct(
-        "raw", F.when(unsure, F.json_object_keys("text")).alias("keys")))))
+    # More names in the text than fields with a value: some field may be an explicit null.
+    names = F.array(*[F.lit(f'"{name}"') for name in _DEFAULTED])
+    named = F.size(F.filter(names, lambda name: F.contains("text", name)))
+    filled = reduce(add, [F.col(f"raw.{name}").isNotNull().cast("int") for name in _DEFAULTED])
+    unsure = (filled < len(_DEFAULTED)) & (
+        F.contains("text", F.lit("\\u")) | (named > filled))
+    keyed = parsed.select("raw", F.when(unsure, F.json_object_keys("text")).alias("keys"))
 
     def field(name, default):
         return defaulted(F.col(f"raw.{name}"), F.col("keys"), name, default)
 
-    seconds = field("timestamp", MISSING_TIME)
-    return keyed.select(
+    seconds = F.col("seconds")
+    return keyed.withColumn("seconds", field("timestamp", MISSING_TIME)).select(
         F.col("raw.id").alias("event_id"),
         field("type", MISSING_TYPE).alias("event_type"),
         field("title", MISSING_TEXT).alias("page_title"),

@@ -138,11 +138,11 @@ def _moves(ranked: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     rank of its first order value, which may go back to an earlier part.
 
     Only the first and the last group of a part can lie in other parts too, so at most three rows of
-    each part are looked at.
+    each part are looked at; one task takes them all.
     """
     parts = Window.partitionBy(*keys).orderBy("part")
     value = F.struct(*values)
-    totals = ranked.where("edge > 0").groupBy(*keys, "part").agg(
+    totals = ranked.where("edge > 0").drop("row").repartition(1).groupBy(*keys, "part").agg(
         F.max("rows").alias("rows"), F.max("rank").alias("last"),
         F.min_by(value, "rows").alias("low"), F.max_by(value, "rows").alias("high"),
     ).withColumns({
