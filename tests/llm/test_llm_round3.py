@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers as vocabularies
-from millrace.llm import alignment, neighbours, runs
+from millrace.llm import alignment, neighbours, runs, toxicity
 from millrace.llm.queries import QUERIES, with_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -333,3 +333,66 @@ def test_runs_edge_rows(spark):
     (long,) = [r for r in found if r.doc_id == TEXTS.index("word " * 3000)]
     assert [tuple(x) for x in long.runs] == [(0, 3000, 1)] and long.collapsed == "word"
     assert runs.periodic_runs(edge_table(spark).where("false")).count() == 0
+
+
+# --- toxicity ---
+
+def plain_stretches(values, words, size):
+    """Means over the different words of each window, window by window."""
+    n, half = len(words), (size or 2) // 2
+    starts = [0] if size is None or size >= n else range(0, n - half, half)
+    out = []
+    for start in starts:
+        window = words[start:] if size is None else words[start:start + size]
+        distinct = {w: values[start + k] for k, w in reversed([*enumerate(window)])}
+        out.append(sum(distinct.values()) / max(len(distinct), toxicity.LEAST))
+    return out
+
+
+@pytest.mark.parametrize("size", [None, 2, 8, 128])
+def test_stretches_equal_plain_windows(size):
+    rng = random.Random(5)
+    for _ in range(60):
+        words = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 400))]
+        value = {w: rng.uniform(-1, 1) for w in words}
+        values = np.array([value[w] for w in words])
+        found = toxicity.stretch_means(values, toxicity.earlier(words), size)
+        assert np.allclose(found, plain_stretches(values, words, size))
+
+
+def test_repeated_words_of_long_texts_are_seen():
+    """A passage counts although each of its words stood alone in the text before."""
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "re") for b in ("ba", "do", "fi", "gu")]
+
+    def text(n, insults):
+        words = [rng.choice(vocabulary) for _ in range(n)]
+        for _ in range(insults):
+            words[rng.randrange(n)] = rng.choice(["idiot", "moron", "scum"])
+        return " ".join(words)
+
+    texts = [text(150, 0) for _ in range(150)] + [text(150, 8) for _ in range(150)]
+    model = toxicity.train(texts, np.array([0] * 150 + [1] * 150))
+    strewn = vocabulary * 150
+    for place, word in ((10, "idiot"), (900, "moron"), (1800, "scum")):
+        strewn[place] = word
+    passage = strewn[:2500] + ["idiot", "moron", "scum", "idiot", "pathetic", "moron"] * 8 + strewn[2500:]
+    assert model.tops(" ".join(passage))[0] > 1.5 * model.tops(" ".join(strewn))[0] > 0
+    assert model.score(" ".join(vocabulary * 200)) < 0.5 < model.score(text(150, 10))
+
+
+def test_scores_equal_a_plain_computation(spark):
+    docs = edge_table(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(TEXTS))], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    for r in toxicity.toxicity(docs, model).collect():
+        assert r.predicted == (r.score >= 0.5)
+    for text in TEXTS:
+        words = toxicity.words_of(text)
+        tops = [0.0] * len(toxicity.SIZES)
+        if words:
+            grams = [toxicity.ngrams([w])[0] for w in words]
+            values = [float(np.mean(model.gram[g].astype(float))) for g in grams]
+            tops = [max(plain_stretches(values, words, size)) for size in toxicity.SIZES]
+        odds = max((t - b) / u for t, b, u in zip(tops, model.borders, model.units))
+        assert np.isclose(model.score(text), 1 / (1 + np.exp(-np.clip(odds, -30, 30))), atol=1e-5)
