@@ -4,9 +4,10 @@ Only how many pieces there are of each length matters for the packing, at most o
 length up to the capacity, whatever the size of the corpus.  A configuration says how many pieces
 of each length go into one sequence.  The linear program that covers all pieces with as few
 configurations as possible is solved by multiplicative weights: each length has a price, a knapsack
-dynamic program finds the configurations worth most, each is used for a share of the pieces, and
-prices of lengths that were covered too often fall.  The shares are rounded, and the
-pieces that this leaves, longest first, go where they fit best.
+dynamic program finds the configurations worth most, and prices of lengths that are covered faster
+than others fall.  Uses are rounded to whole sequences as they are found, and what remains is priced
+again.  The last few pieces, longest first, go where they fit
+best.
 
 Pieces are numbered within their length without a sort: each task counts its own, and the counts of
 the tasks before it are added.  Their places in the plan are then found by number.
@@ -36,6 +37,10 @@ from .batches import column, map_batches, texts_of
 CAPACITY = 2048
 END = 0
 ROUNDS = 60
+#: Rounds without any use before the program ends.
+IDLE_ROUNDS = 8
+#: Shares of the pieces that are left to best fit, tried in turn.
+RESTS = (0.04, 0.1, 0.25, 0.5)
 #: A worker remembers between one and two times so many words.
 REMEMBERED = 120_000
 #: The character beyond which words are left to the slower library that defines the ids.
@@ -165,80 +170,78 @@ def configuration(length: int, capacity: int, last: np.ndarray) -> dict[int, int
     return taken
 
 
-def fractional(counts: dict[int, int], capacity: int, rounds: int, rng) -> dict[tuple, float]:
-    """How often each configuration is used; no length is covered more than once over."""
-    n = np.zeros(capacity + 1)
-    for length, count in counts.items():
-        n[length] = count
-    here = np.flatnonzero(n)
-    weight = np.ones(capacity + 1)
-    covered = np.zeros(capacity + 1)
-    uses: dict[tuple, float] = {}
-    for step in range(1, rounds + 1):
+def place_by_configurations(room: dict[int, int], capacity: int, plan: Plan, rounds: int, rng,
+                            loose: bool) -> None:
+    """Solve the linear program over configurations that fill a sequence, in whole uses.
+
+    Each round prices the lengths, lets the knapsack find the best filling around each length, and
+    uses each filling as often as the pieces left allow, rounded to whole sequences; the next round
+    solves what remains.  A length that is covered faster than the others becomes cheaper,
+    one that is not becomes dearer.  The weights differ so little that a filled sequence is worth
+    more than one with room in it.  ``loose`` lets sequences keep room where nothing fills them, as
+    little as there is a filling for.
+    """
+    weight, idle, gap = np.zeros(capacity + 1), 0, 0
+    for _ in range(rounds):
+        here = np.array(sorted(k for k, n in room.items() if n), dtype=np.int64)
+        if not len(here) or idle > IDLE_ROUNDS:
+            return
         price = np.full(capacity + 1, -np.inf)
-        price[here] = here / capacity * weight[here] * rng.uniform(0.999, 1.001, len(here))
-        worth, last = best_fill(price, capacity)
-        share = n / rounds
-        for length in here[::-1]:
-            # A length that is ahead of its share already needs no configuration of its own.
-            if covered[length] >= n[length] * step / rounds:
-                continue
-            taken = configuration(int(length), capacity, last)
-            amount = min(share[k] / per for k, per in taken.items())
-            for k, per in taken.items():
-                covered[k] += amount * per
-            key = tuple(sorted(taken.items()))
-            uses[key] = uses.get(key, 0.0) + amount
-        ahead = covered[here] / (n[here] * step / rounds) - 1
-        weight[here] = np.exp(-1.0 * np.clip(ahead, -2, 2)) * weight[here]
-        weight[here] /= weight[here].mean()
-    over = np.maximum(covered / np.maximum(n, 1), 1)
-    return {key: use / max(over[k] for k, _ in key) for key, use in uses.items()}
+        price[here] = here / capacity * np.exp(
+            1e-3 * weight[here] + rng.uniform(-3e-4, 3e-4, len(here)))
+        _, last = best_fill(price, capacity)
+        allowed = {int(k): room[int(k)] for k in here}
+        used, wider = dict.fromkeys(allowed, 0), capacity
+        for length in here[::-1].tolist():
+            taken = configuration(length, capacity, last)
+            times = min((allowed[k] - used[k]) // per for k, per in taken.items())
+            left = capacity - sum(k * per for k, per in taken.items())
+            if times > 0 and left > gap:
+                wider = min(wider, left)
+            elif times > 0:
+                plan.add(taken, times)
+                for k, per in taken.items():
+                    used[k] += per * times
+        covered = np.array([used[k] / allowed[k] for k in here.tolist()])
+        idle = idle + 1 if not covered.any() else 0
+        if idle and loose:
+            gap = wider
+        weight[here] = np.clip(weight[here] + 0.3 * (covered.mean() - covered), -1, 1)
+        for k, n in used.items():
+            room[k] -= n
 
 
 def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
-    """Where pieces go, given how many there are of each length."""
-    rng = np.random.default_rng(11)
-    plan, left = Plan(capacity), {k: n for k, n in counts.items() if n}
-
-    def use(taken: dict[int, int], most: int) -> int:
-        times = min([most, *(left.get(k, 0) // per for k, per in taken.items())])
-        if times > 0:
-            plan.add(taken, times)
-            for k, per in taken.items():
-                left[k] -= per * times
-                if not left[k]:
-                    del left[k]
-        return times
-
-    full = left.get(capacity, 0)
-    if full:
-        use({capacity: 1}, full)
-    # A pass leaves what rounding takes away and what the prices have not reached yet; passes go on
-    # while they place a good part.
-    while left:
-        before = sum(left.values())
-        uses = fractional(left, capacity, rounds, rng)
-        for key, amount in sorted(uses.items(), key=lambda item: (-item[1], item[0])):
-            if amount >= 0.5 and sum(k * per for k, per in key) == capacity:
-                use(dict(key), int(amount + 0.5))
-        if sum(left.values()) > 0.8 * before:
-            break
-    # What cannot fill sequences to the end: best fit alone, or after passes with configurations
-    # that leave room, whichever needs fewer sequences.
-    rest, rows, used, sequences = dict(left), list(plan.rows), dict(plan.used), plan.sequences
-    plain = Plan(capacity, sequences, rows, used)
-    best_fit(rest, capacity, plain)
-    while left:
-        before = sum(left.values())
-        uses = fractional(left, capacity, rounds, rng)
-        for key, amount in sorted(uses.items(), key=lambda item: (
-                sum(k * per for k, per in item[0]) < capacity, -item[1], item[0])):
-            use(dict(key), int(amount))
-        if sum(left.values()) > 0.5 * before:
+    """Where pieces go, given how many there are of each length.
+
+    An even share of all lengths is left for best fit, which closes the last gaps with it; the share
+    grows until no more sequences are needed than best fit alone takes.  Where filled sequences leave
+    many pieces, the program goes on with sequences that keep some room, and the better plan counts.
+    """
+    counts = {k: n for k, n in counts.items() if n}
+    full = counts.pop(capacity, 0)
+    plain = Plan(capacity)
+    best_fit(dict(counts), capacity, plain)
+    best = None
+    for rest in RESTS:
+        for loose in (False, True):
+            plan, room, kept = Plan(capacity), {}, 0.0
+            for k in sorted(counts):
+                before, kept = int(kept), kept + rest * counts[k]
+                room[k] = counts[k] - (int(kept) - before)
+            place_by_configurations(room, capacity, plan, rounds, np.random.default_rng(11), loose)
+            left = {k: n - plan.used.get(k, 0) for k, n in counts.items()}
+            best_fit({k: n for k, n in left.items() if n}, capacity, plan)
+            if best is None or plan.sequences < best.sequences:
+                best = plan
+            if sum(room.values()) < 0.02 * sum(counts.values()):
+                break
+        if best.sequences <= plain.sequences:
             break
-    best_fit(left, capacity, plan)
-    return plan if plan.sequences < plain.sequences else plain
+    best = best if best.sequences <= plain.sequences else plain
+    if full:
+        best.add({capacity: 1}, full)
+    return best
 
 
 def best_fit(left: dict[int, int], capacity: int, plan: Plan) -> None:
@@ -339,18 +342,29 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
                            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     numbered = pieces.join(first, ["task", "length"]) \
         .withColumn("number", F.col("number") + F.col("before"))
-    names = ["at_length", "low", "high", "first_sequence", "per", "at_offset"]
-    columns = zip(*plan.rows) if plan.rows else [()] * len(names)
-    places = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names))
     # The plan's size is bounded by the capacity, not by the corpus.
-    placed = numbered.join(
-        F.broadcast(places), (F.col("length") == F.col("at_length"))
-        & (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high")))
-    within = F.col("number") - F.col("low")
-    result = placed.select(
-        F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32",
-        (F.col("first_sequence") + F.floor(within / F.col("per"))).cast("bigint")
-        .alias("sequence_id"),
-        (F.col("at_offset") + within % F.col("per") * F.col("length")).alias("offset"),
-        *(["ids"] if keep_ids else []))
-    return result
+    shipped = spark.sparkContext.broadcast(np.array(sorted(plan.rows), dtype=np.int64).reshape(-1, 6))
+
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Each piece's row of the plan by binary search; rows are ordered by length and number."""
+        at_length, low, _, first, per, at_offset = shipped.value.T
+        length, number = (batch.column(batch.schema.names.index(name)).to_numpy()
+                          for name in ("length", "number"))
+        row = np.empty(len(length), dtype=np.int64)
+        for k in np.unique(length):
+            own = length == k
+            start, end = np.searchsorted(at_length, [k, k + 1])
+            row[own] = start + np.searchsorted(low[start:end], number[own], "right") - 1
+        within = number - low[row]
+        kept = [c for c, name in zip(batch.columns, batch.schema.names) if name != "number"]
+        return pa.RecordBatch.from_arrays(
+            [*kept, pa.array(first[row] + within // per[row]),
+             pa.array(at_offset[row] + within % per[row] * length)],
+            [*columns, "sequence_id", "offset"])
+
+    columns = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
+    schema = ", ".join(f"{name} {numbered.schema[name].dataType.simpleString()}" for name in columns)
+    placed = map_batches(numbered.select(*columns, "number"), place,
+                         schema + ", sequence_id bigint, offset bigint")
+    return placed.select(F.col("id").alias(id_col), *columns[1:5], "sequence_id", "offset",
+                         *columns[5:])

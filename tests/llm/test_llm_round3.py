@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers as vocabularies
-from millrace.llm import alignment, neighbours, runs, toxicity
+from millrace.llm import alignment, neighbours, packing, runs, toxicity
 from millrace.llm.queries import QUERIES, with_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -396,3 +396,31 @@ def test_scores_equal_a_plain_computation(spark):
             tops = [max(plain_stretches(values, words, size)) for size in toxicity.SIZES]
         odds = max((t - b) / u for t, b, u in zip(tops, model.borders, model.units))
         assert np.isclose(model.score(text), 1 / (1 + np.exp(-np.clip(odds, -30, 30))), atol=1e-5)
+
+
+# --- packing ---
+
+@pytest.mark.parametrize("times, share", [(1, 0.6), (1000, 0.9)])
+def test_the_linear_program_places_most_pieces(spark, monkeypatch, times, share):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packing.cut_pieces(docs, *PATHS[:3]).groupBy("length").count().collect()
+    counts = {r.length: r["count"] * times for r in pieces}
+    plain, given = packing.Plan(packing.CAPACITY), []
+    best_fit = packing.best_fit
+    best_fit(dict(counts), packing.CAPACITY, plain)
+
+    def noted(left, capacity, plan):
+        given.append(sum(left.values()))
+        best_fit(left, capacity, plan)
+
+    monkeypatch.setattr(packing, "best_fit", noted)
+    plan = packing.make_plan(counts)
+    short = sum(n for k, n in counts.items() if k < packing.CAPACITY)
+    # The first call is best fit alone, for comparison; the last is the one that counts.
+    assert given[-1] <= (1 - share) * short
+    assert plan.sequences <= plain.sequences
+    assert max(Counter(row[0] for row in plan.rows).values()) <= packing.CAPACITY
+    for length, n in counts.items():
+        own = sorted((low, high) for k, low, high, *_ in plan.rows if k == length)
+        assert own[0][0] == 0 and own[-1][1] == n
+        assert all(a[1] == b[0] for a, b in zip(own, own[1:]))
