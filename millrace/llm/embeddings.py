@@ -115,10 +115,14 @@ def tile(table: pa.Table, threshold: float) -> pa.Table:
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
                  vector_col: str = "embedding") -> DataFrame:
-    """One row per vector: id, ``n_links``, ``component_id`` and ``kept``."""
+    """One row per vector: id, ``n_links``, ``component_id`` and ``kept``.
+
+    Ids may be of any type that has an order.  A row whose id is null links like any other; it names
+    no component unless all of it have none, and is kept then only.
+    """
     kind = "float" if vectors.schema[vector_col].dataType.elementType.typeName() == "float" \
         else "double"
-    rows = vectors.select(column(id_col).cast("bigint").alias("id"),
+    rows = vectors.select(column(id_col).alias("id"),
                           column(vector_col).cast(f"array<{kind}>").alias("vector"))
     limit = float("inf")
     usable = F.coalesce(
@@ -130,11 +134,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     plain = F.transform("vector", lambda x: x + F.lit(0).cast(kind))
     keyed = rows.withColumn("usable", usable).withColumn("vector", plain).withColumns({
         "key_1": F.xxhash64("vector"), "key_2": F.xxhash64(F.lit("second"), "vector")})
-    # Two 64-bit sums stand for a vector.
+    # Two 64-bit sums stand for a vector, and a number for both from here on.
     distinct = stored(
         keyed.where("usable").groupBy(*keys).agg(
-            F.min("id").alias("id"), F.count("*").alias("copies"),
-            F.first("vector").alias("vector")), "vectors")
+            F.min("id").alias("least"), F.count("*").alias("copies"),
+            F.first("vector").alias("vector"))
+        .withColumn("id", F.monotonically_increasing_id()), "vectors")
     blocks = max(LEAST_BLOCKS, math.ceil(distinct.count() / BLOCK))
     own = F.pmod(F.xxhash64("key_1", F.lit("block")), F.lit(blocks)).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
@@ -147,14 +152,17 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     total = found.groupBy("id").agg(F.sum("links").alias("links"))
     component = components(found, "id", "root").withColumnRenamed("node", "id")
     # What differs from a vector without links: copies, links or another component.
-    noted = distinct.select(*keys, "id", "copies").join(total, "id", "left") \
-        .join(component, "id", "left").where("copies > 1 or links is not null").select(
-            *keys, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"))
+    member = distinct.select(*keys, "id", "least", "copies").join(total, "id", "left") \
+        .join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    member = stored(member.where("copies > 1 or links is not null"), "members")
+    smallest = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    noted = join_salted(member, smallest, ["component"], F.col("id"), "left").select(
+        *keys, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.lit(True).alias("noted"), "component_id")
     judged = join_salted(
         keyed.select("id", *[F.when(F.col("usable"), F.col(k)).alias(k) for k in keys]),
         noted, keys, F.col("id"), "left")
+    component_id = F.when(F.col("noted"), F.col("component_id")).otherwise(F.col("id"))
     return judged.select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "id").alias("component_id"),
-    ).withColumn("kept", column(id_col) == F.col("component_id"))
+        component_id.alias("component_id"), F.col("id").eqNullSafe(component_id).alias("kept"))

@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers as vocabularies
-from millrace.llm import alignment, neighbours, packing, runs, toxicity
+from millrace.llm import alignment, embeddings, neighbours, packing, runs, toxicity
 from millrace.llm.queries import QUERIES, with_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -424,3 +424,20 @@ def test_the_linear_program_places_most_pieces(spark, monkeypatch, times, share)
         own = sorted((low, high) for k, low, high, *_ in plan.rows if k == length)
         assert own[0][0] == 0 and own[-1][1] == n
         assert all(a[1] == b[0] for a, b in zip(own, own[1:]))
+
+
+# --- near vectors: ids ---
+
+def test_null_and_text_ids_of_vectors(spark):
+    near, far = [1.0, 0.01, 0.0], [0.0, 0.0, 1.0]
+    rows = [("b", near), ("a", [1.0, 0.0, 0.0]), (None, [1.0, 0.02, 0.0]), ("c", far),
+            (None, [0.0, 1.0, 0.0]), (None, None), ("d", None), ("c", far)]
+    table = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    found = sorted(((r.vec_id or "", r.n_links, r.component_id or "", r.kept)
+                    for r in embeddings.near_vectors(table).collect()))
+    assert found == sorted([
+        ("b", 2, "a", False), ("a", 2, "a", True), ("", 2, "a", False), ("c", 1, "c", True),
+        ("", 0, "", True), ("", 0, "", True), ("d", 0, "d", True), ("c", 1, "c", True)])
+    numbers = spark.createDataFrame([(1, near), (None, near), (5, near)],
+                                    "vec_id long, embedding array<double>")
+    assert sorted(str(r.component_id) for r in embeddings.near_vectors(numbers).collect()) == ["1"] * 3
