@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import bisect
 import json
+import struct
 import zlib
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -79,9 +80,10 @@ class WordTokens:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _encode(self, text: str) -> bytes:
-        if self.fast is None or text and max(text) > COMMON:
+        if self.fast is None or not text.isascii() and max(text) > COMMON:
             return self.exact(text)
-        return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+        ids = self.fast.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def remember(self, word: str) -> bytes:
         found = self.older.get(word)
