@@ -43,6 +43,7 @@ PARTS = 16
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?/>"
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg)\b.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<tag>/?[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[a-z/!?][^>]*(?:>|\Z)"
@@ -59,17 +60,19 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "base", "area", "col"
 REGIONS = {"div", "section"}
 TITLES = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ASIDE_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs",
-    "comment", "comments", "complementary", "contentinfo", "cookie", "cookies", "disqus", "footer",
-    "header", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo",
-    "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "advertorial", "banner",
+    "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "contentinfo", "cookie",
+    "cookies", "discussion", "disqus", "footer", "header", "login", "menu", "modal", "nav",
+    "navbar", "navigation", "newsletter", "notice", "paid", "popup", "promo", "replies", "search",
+    "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
 }
 #: Words that leave the meaning of a word of ASIDE_WORDS beside them as it is.
 NEUTRAL_WORDS = {
-    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "global",
-    "google", "icon", "icons", "item", "items", "left", "level", "link", "links", "list",
-    "main", "media", "mobile", "primary", "right", "secondary", "site", "slot",
-    "sticky", "thread", "top", "unit", "widget", "widgets", "wrap", "wrapper",
+    "area", "article", "bar", "block", "bottom", "box", "button", "buttons", "consent", "container",
+    "content", "form", "global", "google", "icon", "icons", "item", "items", "left", "level",
+    "link", "links", "list", "main", "media", "message", "mobile", "page", "post", "primary",
+    "reader", "right", "secondary", "section", "signup", "site", "slot", "sticky", "thread", "top",
+    "unit", "user", "widget", "widgets", "wrap", "wrapper",
 }
 #: Elements that end an open paragraph, and those that end others before them, by where they look.
 ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div",
@@ -126,6 +129,8 @@ def tag_token(tag: str, attrs: str) -> str:
     for found in ATTRIBUTE.findall(attrs):
         for token in (found[1] or found[2] or found[3]).lower().split():
             parts = {part for part in re.split(r"[^a-z]+", token) if part}
+            if {"side", "bar"} <= parts:
+                parts = parts - {"side", "bar"} | {"sidebar"}
             if parts <= ASIDE_WORDS | NEUTRAL_WORDS:
                 words |= parts & ASIDE_WORDS
     return " ".join([name, *sorted(words)])

@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers as vocabularies
-from millrace.llm import alignment, embeddings, neighbours, packing, runs, toxicity
+from millrace.llm import alignment, embeddings, neighbours, packing, runs, toxicity, wrappers
 from millrace.llm.queries import QUERIES, with_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -441,3 +441,27 @@ def test_null_and_text_ids_of_vectors(spark):
     numbers = spark.createDataFrame([(1, near), (None, near), (5, near)],
                                     "vec_id long, embedding array<double>")
     assert sorted(str(r.component_id) for r in embeddings.near_vectors(numbers).collect()) == ["1"] * 3
+
+
+# --- pages ---
+
+@pytest.mark.parametrize("name", [
+    "reader-comments", "comments-section", "comment-section", "user-comments", "article-comments",
+    "post-comments", "page-footer", "cookie-consent", "newsletter-signup", "advertising",
+    "advertorial", "notice-message", "side-bar", "replies", "discussion", "login", "paid-content",
+    "modal"])
+def test_side_parts_inside_an_article(name):
+    page = f"<article><p>One text.</p><div class='x {name}'><p>Not this.</p></div><p>Two.</p></article>"
+    assert wrappers.Extractor(wrappers.Wrapper().packed()).text(page) == "One text.\nTwo."
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "post", "article-body", "content", "notice2me",
+                                  "commentary", "main-content", "user-guide"])
+def test_other_classes_stay(name):
+    page = f"<article><div class='{name}'><p>One text.</p></div><p>Two.</p></article>"
+    assert wrappers.Extractor(wrappers.Wrapper().packed()).text(page) == "One text.\nTwo."
+
+
+def test_drawings_with_and_without_end():
+    page = "<article><p>a<svg viewBox='0 0 1 1' x=\"a/>b\"/>b</p><svg><path d='1'/>no</svg><p>c</p></article>"
+    assert wrappers.Extractor(wrappers.Wrapper().packed()).text(page) == "ab\nc"
