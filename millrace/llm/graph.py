@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.workspace import stored
 
@@ -27,16 +27,19 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
 
     Each round hangs all parents of a node under the smallest of them, and then each node under its
     parent's parent; a round halves the length of every way at least.  Tables are written between
-    rounds.  A node that very many others hang under is hot as a parent only, and the join that
-    looks up parents is salted.
+    rounds.  A node that very many others hang under, or that hangs under very many, is hot; the
+    smallest parent is found with counts combined before the shuffle, and both joins are salted.
     """
     edges = stored(
         links.select(F.greatest(one, other).alias("child"), F.least(one, other).alias("parent"))
         .where("child <> parent").distinct(), "links")
-    siblings = Window.partitionBy("child")
     while True:
+        # A child with one parent stays under it and needs no look-up.
+        lowest = edges.groupBy("child").agg(F.min("parent").alias("low"), F.count("*").alias("n")) \
+            .where("n > 1").drop("n")
         hung = stored(
-            edges.withColumn("low", F.min("parent").over(siblings)).select(
+            join_salted(edges, lowest, ["child"], F.col("parent"), "left")
+            .withColumn("low", F.coalesce("low", "parent")).select(
                 F.when(F.col("parent") == F.col("low"), F.col("child"))
                 .otherwise(F.col("parent")).alias("child"), F.col("low").alias("parent"))
             .distinct(), "links")
@@ -45,5 +48,5 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
                         .join(above, "child").select(F.col("child").alias("parent"), "up"), "links")
         if middle.isEmpty() and above.where("n > 1").isEmpty():
             return hung.select(F.col("child").alias("node"), F.col("parent").alias("component"))
-        edges = join_salted(hung, middle, ["parent"], F.col("child"), "left").select(
-            "child", F.coalesce("up", "parent").alias("parent")).distinct()
+        edges = stored(join_salted(hung, middle, ["parent"], F.col("child"), "left").select(
+            "child", F.coalesce("up", "parent").alias("parent")).distinct(), "links")
