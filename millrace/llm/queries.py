@@ -18,7 +18,7 @@ from .pieces import piece_digests
 from .quality import fit_quality, quality_rules
 from .runs import periodic_runs
 from .toxicity import fit_toxicity, toxicity
-from .urls import judge_urls
+from .urls import PATTERNS, judge_urls
 from .wrappers import main_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,12 +80,9 @@ def op4_embeddings(spark, sf_dir):
         VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
                ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
     ), judged AS (
-        SELECT *, CASE
-            WHEN regexp_matches(host, '(^|[.-])(pills|spam|casino|porn)([.-]|$)')
-              OR regexp_matches(host, '^(.*\.)?ads?\.[^.]+.*\.')
-              OR regexp_matches(path, '/(login|signin)([./]|$)')
-              OR regexp_matches(path, '/cart/checkout([./]|$)')
-            THEN 'block' ELSE 'allow' END AS method,
+        SELECT *, CASE WHEN """ + " OR ".join(
+    f"regexp_matches(host || path, '{rule.pattern}')" for rule in PATTERNS) + r"""
+                  THEN 'block' ELSE 'allow' END AS method,
             (SELECT max_by({'rule': rule_host || rule_path, 'verdict': rule_verdict},
                            length(rule_host || rule_path))
              FROM listed

@@ -57,15 +57,30 @@ LISTED = (
     host_rule("block", "com", "/de/"),
 )
 
-# Our own patterns for hosts and paths that no listed rule covers.
+
+def host_word_rule(word: str) -> Rule:
+    """A rule for hosts with ``word`` as a label or as a part of one between hyphens."""
+    return Rule(f"{word} host", "block", rf"^(?:[^/]*[.-])?{word}(?:[.-][^/]*)?(?:/|\z)", (word,))
+
+
+def server_rule(label: str) -> Rule:
+    """A rule for hosts with ``label`` before a domain, as in ``ads.example.net``."""
+    return Rule(f"{label} server", "block", rf"^(?:[^/]*\.)?{label}\.[^/.]+\.[^/]", (label,))
+
+
+def page_rule(path: str) -> Rule:
+    """A rule for paths with the names ``path``, of which the last may have an ending."""
+    tokens = tuple(t for t in re.split(NO_TOKEN, path) if t)
+    return Rule(f"{path} page", "block", rf"/{re.escape(path)}(?:[./]|\z)", tokens)
+
+
+# Our own patterns for hosts and paths that no listed rule covers, each with a token it needs.
 PATTERNS = (
-    Rule("pills host", "block", r"^[^/]*(?:^|[.-])pills(?:[.-]|/|$)", ("pills",)),
-    Rule("spam host", "block", r"^[^/]*(?:^|[.-])spam(?:[.-]|/|$)", ("spam",)),
-    Rule("casino host", "block", r"^[^/]*(?:^|[.-])casino(?:[.-]|/|$)", ("casino",)),
-    Rule("porn host", "block", r"^[^/]*(?:^|[.-])porn(?:[.-]|/|$)", ("porn",)),
-    Rule("advert server", "block", r"^(?:[^/]*\.)?ads?\.[^/]", ()),
-    Rule("login page", "block", r"/(?:login|signin)(?:[./]|$)", ()),
-    Rule("cart page", "block", r"/cart/checkout(?:[./]|$)", ("cart", "checkout")),
+    *map(host_word_rule, ("casino", "doubleclick", "escort", "malware", "phishing", "pills",
+                          "poker", "porn", "spam", "viagra", "warez", "xxx")),
+    *map(server_rule, ("ad", "ads", "adserver", "adservice")),
+    *map(page_rule, ("cart/checkout", "cgi-bin", "login", "logout", "signin", "signup",
+                     "wp-admin", "wp-login", "xmlrpc")),
 )
 
 
@@ -120,10 +135,13 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule] = LISTED + PATTERNS,
         postings = F.create_map(*[x for t, ids in index.items() for x in (F.lit(t), numbers(ids))])
         hits = F.filter(tokens_of(place), lambda t: t.isin(list(index)))
         fetched = F.concat(fetched, F.flatten(F.transform(hits, lambda t: postings[t])))
-    patterns = F.array(*[F.lit(rule.pattern) for rule in rules])
     names = F.array(*[F.lit(rule.name) for rule in rules])
-    fits = F.array_sort(F.filter(fetched, lambda i: F.regexp_like(F.col("place"), patterns[i])))
-    judged = parts.withColumn("place", place).withColumn("fits", fits)
+    # Literal patterns are compiled once, and run only where their rule was fetched.
+    tried = [F.when(F.array_contains("fetched", i),
+                    F.when(F.regexp_like("place", F.lit(rule.pattern)), F.lit(i)))
+             for i, rule in enumerate(rules)]
+    judged = parts.withColumn("place", place).withColumn("fetched", fetched).withColumn(
+        "fits", F.array_compact(F.array(*tried)) if rules else numbers([]))
     best = F.get("fits", F.lit(0))
     listed = F.array(*[F.lit(rule.listed) for rule in rules])
     verdict = F.array(*[F.lit(rule.verdict) for rule in rules])

@@ -498,6 +498,43 @@ def test_url_rules(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+URL_CASES = [
+    "http://ads.com/", "http://ad.net/x", "http://ads.example.net/", "http://x.ad.example.com/a",
+    "http://xads.example.net/", "http://ads/", "http://ads.x.y", "http://AdServer.a.b:80/c",
+    "http://adservice.a.b?c", "http://x.doubleclick.net/", "http://doubleclick.net/",
+    *(f"http://{h}/{p}" for h in ("casino.net", "my-poker.net", "viagra-shop.a.net", "xxx", "escort.net:8",
+                                  "a.malware.net", "phishing.net", "pills.net", "warez.net", "porn.org", "spam.com")
+      for p in ("", "fr/", "de/x")),
+    "http://pokers.net/", "http://a_spam.net/", "http://a.net/login", "http://a.net/login.php?x=1",
+    "http://a.net/loginx", "http://a.net/x/signin/", "http://a.net/signin\n", "http://a.net/LOGIN",
+    "http://a.net/cart/checkout", "http://a.net/cart/x/checkout", "http://a.net/cgi-bin/q",
+    "http://a.net/wp-login.php", "http://a.net/wp-admin", "http://a.net/xmlrpc.php",
+    "http://a.net/signup#x", "http://a.org/logout", "login", "http://",
+]
+
+
+def test_url_patterns_equal_search_and_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from millrace.llm import queries
+
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*URL_CASES, None])],
+                                  "page_id long, url string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    found = urls.judge_urls(pages).collect()
+    rules = urls.LISTED + urls.PATTERNS
+    for r in found:
+        fits = {rule.name for rule in rules
+                if re.search(rule.pattern.replace(r"\z", r"\Z"), r.host + r.path)}
+        assert set(r.fits) == fits, r
+    assert {rule.name for rule in urls.PATTERNS} <= {name for r in found for name in r.fits}
+    assert all(rule.tokens for rule in rules)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    columns = "page_id", "host", "path", "rule", "verdict"
+    assert sorted(tuple(r[c] for c in columns) for r in found) == sorted(
+        con.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE['op5_urls']})").fetchall())
+
+
 # --- pages ---
 
 PAGE = ("<!DOCTYPE html><html><head><title>t</title><script>var a='</p>';</script></head><body>"
