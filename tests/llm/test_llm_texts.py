@@ -429,6 +429,85 @@ def test_license_edge_rows(spark):
         licenses.license_scan(no_rows(spark), [licenses.Template("x", "...")])
 
 
+def license_labels(text: str) -> set[str]:
+    index = licenses.PhraseIndex(licenses.BASE + licenses.NOTICES, {}, 0)
+    return {index.templates[i][0].label for i, *_ in index.find(licenses.words_of(text))}
+
+
+@pytest.mark.parametrize("notice", [t for t in licenses.NOTICES if len(t.text.split()) > 12],
+                         ids=lambda t: t.text[:20])
+def test_notices_with_words_put_in_or_missing(notice):
+    words = notice.text.split()
+    fixed = {k for phrase in map(str.split, notice.required) for at in range(len(words))
+             if words[at:at + len(phrase)] == phrase for k in range(at, at + len(phrase))}
+    for at in range(len(words) + 1):
+        if not {at - 1, at} <= fixed:
+            put_in = " ".join(["before", *words[:at], "really", *words[at:], "after"])
+            assert notice.label in license_labels(put_in), put_in
+    loose = [k for k in range(len(words)) if k not in fixed]
+    rng = random.Random(len(words))
+    for _ in range(20):
+        gone = set(rng.sample(loose, min(len(loose), licenses.missing(notice, len(words)) // 2)))
+        assert notice.label in license_labels(" ".join(
+            w for k, w in enumerate(words) if k not in gone))
+    broken = " ".join(w for k, w in enumerate(words) if k not in set(loose[::2]) | set(loose[:12]))
+    assert not any(t is notice for t in found_notices(broken))
+
+
+def found_notices(text: str) -> list[licenses.Template]:
+    index = licenses.PhraseIndex(licenses.BASE + licenses.NOTICES, {}, 0)
+    return [index.templates[i][0] for i, *_ in index.find(licenses.words_of(text))]
+
+
+def longest_common(words: list[str], text: list[str], start: int, slack: int) -> int:
+    """Length of the longest common sequence of pairs near a start, by the plain table."""
+    best = [[0] * (len(text) + 1) for _ in range(len(words) + 1)]
+    for k, w in enumerate(words):
+        for p, v in enumerate(text):
+            pair = w == v and abs(p - k - start) <= slack
+            best[k + 1][p + 1] = max(best[k][p + 1], best[k + 1][p], best[k][p] + pair)
+    return best[-1][-1]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_notice_matches_equal_plain_alignment(seed):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(rng.randint(4, 25))]
+    middle = words[len(words) // 2]
+    template = licenses.Template("x", " ".join(words), (middle,), share=rng.choice([0.5, 0.7, 0.9]))
+    index = licenses.PhraseIndex([template], {w.encode(): rng.randint(0, 9) for w in words}, 10)
+    slack = licenses.missing(template, len(words))
+    assert len(index.postings) == slack + 1
+    for _ in range(40):
+        lost = rng.choice([0, 0.1, 0.4])
+        text = [w for w in words if w == middle or rng.random() > lost]
+        for _ in range(rng.randint(0, 6)):
+            text.insert(rng.randint(0, len(text)), "n")
+        shuffled = rng.random() < 0.3
+        if shuffled:
+            rng.shuffle(text)
+        starts = [p - words.index(w) for p, w in enumerate(text) if w.encode() in index.postings]
+        enough, whole = False, False
+        for start in starts:
+            if longest_common(words, text, start, slack) >= len(words) - slack:
+                enough = True
+                # Without shuffling all pairs near the start are in order.
+                near = [p for p, w in enumerate(text)
+                        if w != "n" and abs(p - words.index(w) - start) <= slack]
+                whole |= near[0] <= text.index(middle) <= near[-1]
+        found = index.find([w.encode() for w in text])
+        assert enough if found else shuffled or not whole
+
+
+def test_each_place_of_a_notice_counts_once(spark):
+    notice = licenses.NOTICES[1].text
+    docs = spark.createDataFrame([(1, f"{notice} x {notice} y {notice}")], "doc_id long, text string")
+    row = licenses.license_scan(docs).first()
+    size = len(notice.split())
+    assert [(m.label, m.start, m.length, m.share) for m in row.matches] == [
+        ("mit", k * (size + 1), size, 1.0) for k in range(3)]
+
+
 # --- toxicity ---
 
 def test_toxicity_held_out(spark):
