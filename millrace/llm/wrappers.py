@@ -11,7 +11,7 @@ site's and not the page's; pages that are all copies of one have no site's text
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
 element, role or class.  Each page is judged by its own elements and by what it aligns with in its host's wrapper.
 
-Wrappers are built where the pages lie, and merged in two steps, so that a host with very many
+Wrappers are built where the pages lie, and merged in three steps, so that a host with very many
 pages is no single group; which pages come first changes the wrapper's optional parts, not what it
 accepts.  Null pages and pages without main text give empty texts; pages whose URL is null or has
 no host share one wrapper.  Repeated rows give repeated results.
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -38,8 +39,14 @@ from .urls import url_parts
 LONGEST_GROUP = 12
 #: Largest wrapper table that is sent to all executors, in bytes.
 SENT_BYTES = 32 << 20
-#: A host's wrappers are first merged in so many parts.
-PARTS = 16
+#: A host's wrappers are merged in so many parts at first, then in fewer.
+PARTS = (256, 16, 1)
+#: Largest table of an alignment, and the streams' lengths in one of several tables.
+CELLS, WINDOW = 1 << 20, 512
+#: Lengths of the runs of keys at which long streams are cut.
+RUNS = (16, 8, 4, 2, 1)
+#: So many page shapes are remembered.
+SHAPES = 2_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -199,19 +206,84 @@ def absorb(one: Node, other: Node) -> None:
 
 
 def align(left: list[Node], right: list[Node]) -> list[tuple[Node | None, Node | None]]:
-    """The alignment of two streams with the most in common; main and side elements weigh most."""
+    """The alignment of two streams with the most in common; main and side elements weigh most.
+
+    Streams too long for one table are cut at runs of keys that both have once, the longest runs
+    first and the parts between them again; a long part without any goes through tables that follow
+    each other.  So the work is linear in long pages, and no node is left out.
+    """
     a, b = [n.key() for n in left], [n.key() for n in right]
-    start, stop = 0, 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
-        start += 1
-    while stop < min(len(a), len(b)) - start and a[-1 - stop] == b[-1 - stop]:
-        stop += 1
-    ends = (*zip(left[:start], right[:start]),), (
-        *zip(left[len(left) - stop:], right[len(right) - stop:]),)
-    left, right = left[start:len(left) - stop], right[start:len(right) - stop]
-    a, b = a[start:len(a) - stop], b[start:len(b) - stop]
-    if not left or not right:
-        return [*ends[0], *((n, None) for n in left), *((None, n) for n in right), *ends[1]]
+    pairs: list[tuple[int | None, int | None]] = []
+    # Spans of both streams still to be aligned, the next one last.
+    spans = [(0, len(a), 0, len(b))]
+    while spans:
+        i, i_end, j, j_end = spans.pop()
+        while i < i_end and j < j_end and a[i] == b[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        same = 0
+        while same < min(i_end - i, j_end - j) and a[i_end - 1 - same] == b[j_end - 1 - same]:
+            same += 1
+        if same:
+            spans.append((i_end - same, i_end, j_end - same, j_end))
+            i_end, j_end = i_end - same, j_end - same
+        if i == i_end or j == j_end:
+            pairs += [(k, None) for k in range(i, i_end)]
+            pairs += [(None, k) for k in range(j, j_end)]
+        elif (i_end - i) * (j_end - j) <= CELLS:
+            pairs += [(x if x is None else x + i, y if y is None else y + j)
+                      for x, y in align_table(a[i:i_end], b[j:j_end])]
+        else:
+            cuts = common_runs(a[i:i_end], b[j:j_end])
+            if cuts:
+                parts, x, y = [], i, j
+                for at, other in cuts:
+                    parts.append((x, i + at, y, j + other))
+                    x, y = i + at, j + other
+                spans += reversed([*parts, (x, i_end, y, j_end)])
+            else:
+                # The pairs of one table are kept but for its last ones, which may be better in the next.
+                table = align_table(a[i:min(i_end, i + WINDOW)], b[j:min(j_end, j + WINDOW)])
+                table = table[:max(1, len(table) // 2)]
+                pairs += [(x if x is None else x + i, y if y is None else y + j) for x, y in table]
+                spans.append((i + sum(x is not None for x, _ in table), i_end,
+                              j + sum(y is not None for _, y in table), j_end))
+    return [(None if x is None else left[x], None if y is None else right[y]) for x, y in pairs]
+
+
+def common_runs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Where the longest of the runs of keys stand that both streams have once, in order."""
+    for size in RUNS:
+        once = []
+        for keys in (a, b):
+            places: dict[tuple, int] = {}
+            for at in range(len(keys) - size + 1):
+                run = tuple(keys[at:at + size])
+                places[run] = -1 if run in places else at
+            once.append({run: at for run, at in places.items() if at >= 0})
+        both = sorted((at, once[1][run]) for run, at in once[0].items() if run in once[1])
+        # The longest chain of places that rise on both sides.
+        ends: list[int] = []
+        last: list[tuple] = []
+        for pair in both:
+            length = bisect_left(ends, pair[1])
+            link = (pair, last[length - 1] if length else None)
+            if length == len(ends):
+                ends.append(pair[1])
+                last.append(link)
+            else:
+                ends[length], last[length] = pair[1], link
+        chain, link = [], last[-1] if last else None
+        while link:
+            chain.append(link[0])
+            link = link[1]
+        if chain:
+            return chain[::-1]
+    return []
+
+
+def align_table(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
+    """The best alignment of keys, from a table of all prefixes."""
     weight = {key: 20 if key.lstrip("/").partition(" ")[0] in MAIN | ASIDE else
               1 if key == "#" else 3 for key in {*a, *b}}
     best = [[0] * (len(b) + 1)]
@@ -225,14 +297,14 @@ def align(left: list[Node], right: list[Node]) -> list[tuple[Node | None, Node |
     while i or j:
         if i and j and a[i - 1] == b[j - 1] and best[i][j] == best[i - 1][j - 1] + weight[a[i - 1]]:
             i, j = i - 1, j - 1
-            pairs.append((left[i], right[j]))
+            pairs.append((i, j))
         elif j and (not i or best[i][j] == best[i][j - 1]):
             j -= 1
-            pairs.append((None, right[j]))
+            pairs.append((None, j))
         else:
             i -= 1
-            pairs.append((left[i], None))
-    return [*ends[0], *reversed(pairs), *ends[1]]
+            pairs.append((i, None))
+    return pairs[::-1]
 
 
 def expose(nodes: list[Node], other: list[Node]) -> list[Node]:
@@ -410,6 +482,8 @@ class Wrapper:
         if len(self.nodes) != before or [n.optional for n in self.nodes] != optional:
             self.known.clear()
         elif len(placed) == texts:
+            if len(self.known) >= SHAPES:
+                self.known.clear()
             self.known[shape] = [node for node, _ in placed]
 
     def join(self, other: Wrapper) -> None:
@@ -463,6 +537,8 @@ class Extractor:
             note(node, sources)
         main = self.known.get(shape)
         if main is None:
+            if len(self.known) >= SHAPES:
+                self.known.clear()
             place = {source[0]: k for k, (_, source) in enumerate(sources)}
             # The page is read before the alignment changes its groups.
             plain = [Node.unpacked(node.packed()) for node in page]
@@ -487,7 +563,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             return pa.record_batch({
-                "host": list(found), "part": pa.array([task % PARTS] * len(found), pa.int32()),
+                "host": list(found), "part": pa.array([task] * len(found), pa.int32()),
                 "wrapper": [w.packed() for w in found.values()]})
 
         for batch in batches:
@@ -509,8 +585,11 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                          "part": pa.array([part], pa.int32()), "wrapper": [total.packed()]})
 
     schema = "host string, part int, wrapper string"
-    parts = pages.mapInArrow(learn, schema).groupBy("host", "part").applyInArrow(join, schema)
-    return stored(parts.groupBy("host").applyInArrow(join, schema).drop("part"), "wrappers")
+    merged = pages.mapInArrow(learn, schema)
+    for parts in PARTS:
+        merged = merged.withColumn("part", F.expr(f"part % {parts}")) \
+            .groupBy("host", "part").applyInArrow(join, schema)
+    return stored(merged.drop("part"), "wrappers")
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 from functools import cache
@@ -705,6 +706,40 @@ def test_marked_items_end_with_the_next():
     assert wrappers.Extractor(wrapper.packed()).text(html) == "One\nmore\nTwo"
 
 
+def test_cut_alignments_are_whole(monkeypatch):
+    rng = random.Random(0)
+    monkeypatch.setattr(wrappers, "CELLS", 30)
+    monkeypatch.setattr(wrappers, "WINDOW", 6)
+    for _ in range(500):
+        left, right = ([wrappers.Node(wrappers.TAG, rng.choice("abcdefgh"[:kinds]))
+                        for _ in range(rng.randint(0, 40))] for kinds in (rng.randint(1, 8),) * 2)
+        pairs = wrappers.align(left, right)
+        assert [x for x, _ in pairs if x] == left and [y for _, y in pairs if y] == right
+        assert all(x or y for x, y in pairs)
+        assert all(x.key() == y.key() for x, y in pairs if x and y)
+
+
+def test_very_long_pages_stay_whole():
+    def page(seed: int) -> tuple[str, list[str]]:
+        rng, lines, parts = random.Random(seed), [], []
+        for k in range(12_000):
+            lines.append(f"text {seed} {k} " + "x" * rng.randint(0, 40))
+            tag = rng.choice(["p", "h2", "blockquote", "pre"])
+            parts.append(f"<{tag}>{lines[-1]}</{tag}>")
+            if rng.random() < 0.1:
+                parts.append("<div class=ad>buy</div>")
+        return ("<nav>home</nav><article>" + "".join(parts) + "</article><footer>end</footer>",
+                [line.strip() for line in lines])
+
+    wrapper, pages = wrappers.Wrapper(), [page(1), page(2)]
+    start = time.process_time()
+    for html, _ in pages:
+        wrapper.learn(wrappers.parse(html)[0], html)
+    for html, lines in pages:
+        assert wrappers.Extractor(wrapper.packed()).text(html) == "\n".join(lines)
+    assert time.process_time() - start < 120
+
+
 def test_wrapper_generalises():
     wrapper = wrappers.Wrapper()
     for html in (page(1, 3), page(2, 1), page(3, 0)):
