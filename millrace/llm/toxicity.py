@@ -8,8 +8,9 @@ much as in a short one, and so do words strewn over a text.  Each size has its o
 document counts by the stretch that is furthest beyond it.
 
 Embeddings and softmax are trained together.  They start from how much more of a toxic document than
-of a clean one has an n-gram, and learn from whole documents and from the windows of theirs that the
-model so far finds most toxic.  N-grams of few documents say nothing.  As the softmax has two
+of a clean one has an n-gram, and learn in several turns from whole documents and from the windows of
+theirs that the model so far finds most toxic.  A row of an n-gram moves the faster the clearer its
+start is.  N-grams of few documents say nothing.  As the softmax has two
 classes, what a fitted n-gram adds is one number; it is averaged over several trainings, and scoring
 adds these numbers.
 
@@ -39,9 +40,11 @@ SIZES = (128, None)
 LEAST = 64
 #: An n-gram counts if it is in so many of the documents learned from.
 LEAST_DOCUMENTS = 10
-#: Trainings whose results are averaged, and turns of each.
-SEEDS, EPOCHS = 2, 1
-STEP = 0.0001
+#: Trainings whose results are averaged, turns of each, and stretches of a step.
+SEEDS, EPOCHS, BATCH = 2, 4, 64
+#: The first step along the mean slope; it falls to 0 in a straight line.  Rows of n-grams go that
+#: far times the size of their start, the softmax a small part of it.
+STEP, SOFTMAX_PACE = 2000.0, 0.0001
 #: At most about so many labelled documents of each class are learned from.
 FIT_DOCUMENTS = 2_000
 #: Scores of words that a worker remembers.
@@ -222,56 +225,50 @@ def fit_grams(grams: Grams, begin: np.ndarray, docs: list[np.ndarray], label: np
     """What each n-gram bucket adds to the odds, by one training from ``begin``; ``docs`` hold
     numbers of words."""
     rng = np.random.default_rng(seed)
-    known = begin != 0
-    embedding = rng.uniform(-0.01, 0.01, (BUCKETS, DIMENSIONS)) * known[:, None]
+    # Steps in proportion to how clear an n-gram is: the many unclear ones would learn the texts by
+    # heart.
+    rate = np.abs(begin)[:, None]
+    embedding = rng.uniform(-0.01, 0.01, (BUCKETS, DIMENSIONS)) * (rate > 0)
     embedding[:, 0] += begin
     weight = rng.uniform(-0.1, 0.1, (2, DIMENSIONS))
     weight[:, 0] += [-10, 10]
     # Stretches count as clean until their words speak against it, so words never seen say nothing.
     bias = np.array([1.0, -1.0])
-    seen = np.full(BUCKETS, 1e-2)
-    seen_weight, seen_bias = np.full(2, 1e-2), np.full(2, 1e-2)
-    for _ in range(EPOCHS):
+    before = [earlier(doc.tolist()) for doc in docs]
+    for epoch in range(EPOCHS):
         word_odds = grams.odds(embedding @ (weight[1] - weight[0]))
         stretches, target = [], []
-        for doc, toxic_doc in zip(docs, label):
-            before = earlier(doc.tolist())
+        for doc, last, toxic_doc in zip(docs, before, label.astype(int)):
             for size in SIZES:
                 if size is None or size < len(doc):
-                    at = int(stretch_means(word_odds[doc], before, size).argmax()) * ((size or 0) // 2)
+                    at = int(stretch_means(word_odds[doc], last, size).argmax()) * ((size or 0) // 2)
                     stretches.append(np.unique(doc[at:at + (size or len(doc))]))
                     target.append(toxic_doc)
         target = np.array(target)
         # Both classes weigh the same.
-        balance = np.where(target > 0, len(target) / 2 / max(target.sum(), 1),
-                           len(target) / 2 / max((1 - target).sum(), 1))
+        balance = len(target) / 2 / np.maximum(np.bincount(target, minlength=2), 1)[target]
         turn = rng.permutation(len(stretches))
-        for a in range(0, len(turn), 64):
-            some = turn[a:a + 64]
+        for a in range(0, len(turn), BATCH):
+            some = turn[a:a + BATCH]
+            pace = STEP * (1 - (epoch + a / len(turn)) / EPOCHS) / len(some)
             size = np.array([len(stretches[i]) for i in some])
-            found, counts = grams.of(np.concatenate([stretches[i] for i in some]))
-            vectors = means(embedding[found], counts)
+            words, at = np.unique(np.concatenate([stretches[i] for i in some]), return_inverse=True)
+            found, counts = grams.of(words)
             divisor = np.maximum(size, LEAST)[:, None]
-            hidden = np.add.reduceat(vectors, np.cumsum(size) - size, axis=0) / divisor
+            hidden = np.add.reduceat(means(embedding[found], counts)[at],
+                                     np.cumsum(size) - size, axis=0) / divisor
             odds = hidden @ weight.T + bias
             p = np.exp(odds - odds.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(some)), target[some].astype(int)] -= 1
+            p[np.arange(len(some)), target[some]] -= 1
             p *= balance[some][:, None]
-            step = np.repeat((p @ weight) / divisor, size, axis=0)
-            step = np.repeat(step / counts[:, None], counts, axis=0)
-            moved = known[found]
-            used, at = np.unique(found[moved], return_inverse=True)
-            change = np.stack([np.bincount(at, step[moved, k], len(used))
-                               for k in range(DIMENSIONS)], axis=1)
-            seen[used] += (change ** 2).mean(axis=1)
-            embedding[used] -= STEP * change / np.sqrt(seen[used])[:, None]
-            slope = p.T @ hidden / len(some)
-            seen_weight += (slope ** 2).mean(axis=1)
-            weight -= STEP * slope / np.sqrt(seen_weight)[:, None]
-            slope = p.mean(axis=0)
-            seen_bias += slope ** 2
-            bias -= STEP * slope / np.sqrt(seen_bias)
+            slope = np.repeat((p @ weight) / divisor, size, axis=0)
+            for k in range(DIMENSIONS):
+                step = np.bincount(at, slope[:, k], len(words)) / counts
+                embedding[:, k] -= pace * rate[:, 0] * np.bincount(
+                    found, np.repeat(step, counts), BUCKETS)
+            weight -= pace * SOFTMAX_PACE * (p.T @ hidden)
+            bias -= pace * SOFTMAX_PACE * p.sum(axis=0)
     return embedding @ (weight[1] - weight[0])
 
 

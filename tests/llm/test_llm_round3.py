@@ -381,6 +381,32 @@ def test_repeated_words_of_long_texts_are_seen():
     assert model.score(" ".join(vocabulary * 200)) < 0.5 < model.score(text(150, 10))
 
 
+def test_training_goes_far_beyond_its_start():
+    """The loss over the documents, at the border that suits it best and each class weighing the
+    same, falls to less than half of the start's."""
+    rng = random.Random(7)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "re", "su") for b in ("ba", "do", "fi", "gu")]
+    insults = ["idiot", "moron", "scum", "trash"]
+    texts = [[rng.choice(words) for _ in range(120)] for _ in range(300)]
+    label = np.array([0.0] * 240 + [1.0] * 60)
+    for text in texts[240:]:
+        for _ in range(5):
+            text[rng.randrange(len(text))] = rng.choice(insults)
+    vocabulary = words + insults
+    grams = toxicity.Grams(vocabulary)
+    docs = [np.array([vocabulary.index(w) for w in text]) for text in texts]
+    begin = toxicity.first_guess(grams, docs, label)
+
+    def loss(gram):
+        odds = grams.odds(gram)
+        tops = np.array([odds[np.unique(d)].sum() / toxicity.LEAST for d in docs])
+        return min(np.mean([np.log1p(np.exp(-(2 * y - 1) * (tops[label == y] - border))).mean()
+                            for y in (0, 1)]) for border in np.linspace(-5, 5, 201))
+
+    # The softmax gives the start a weight of 10 in each class.
+    assert loss(toxicity.fit_grams(grams, begin, docs, label, 5)) < 0.5 * loss(20 * begin)
+
+
 def test_scores_equal_a_plain_computation(spark):
     docs = edge_table(spark)
     labels = spark.createDataFrame([(i, i % 2) for i in range(len(TEXTS))], "doc_id long, toxic int")
