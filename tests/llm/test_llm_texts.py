@@ -280,6 +280,40 @@ def test_quality_edge_rows(spark):
     assert quality.keep_good(renamed, model).columns == renamed.columns
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """Leaves and threshold against plain counts over more rows than were once taken."""
+    n = 16_000
+    numbers = F.sequence(F.lit(0), F.lit(59) + F.col("doc_id") % 40)
+    word = F.xxhash64("doc_id").cast("string")
+    text = F.concat_ws(" ", F.transform(numbers, lambda k: F.concat(
+        F.lit("w"), F.substring(F.xxhash64("doc_id", k).cast("string"), 3, 6),
+        F.when(F.col("doc_id") % 7 == 0, F.lit("!$")).otherwise(F.lit("")),
+        F.when(F.col("doc_id") % 11 == 0, F.substring(word, 3, 8)).otherwise(F.lit("")))))
+    docs = spark.range(n).withColumnRenamed("id", "doc_id").withColumn("text", text)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 13 == 5, F.col("id") % 2).otherwise((F.col("id") % 7 != 0).cast("long"))
+        .alias("quality"))
+    model = quality.fit_quality(docs, labels)
+    label = dict(labels.collect())
+    found = [(quality.text_statistics(r.text), label[r.doc_id] > 0) for r in docs.collect()]
+    x, good = quality.features(np.array([s for s, _ in found])), np.array([g for _, g in found])
+    forest = model.forest
+    for tree, at in [*enumerate(forest.leaves(x[good]))][::25]:
+        for leaf, count in zip(*np.unique(at, return_counts=True)):
+            level, node = 0, int(leaf)
+            while node:
+                node = next(k for k, left in enumerate(forest.left[tree])
+                            if left and left <= node <= left + 1)
+                level += 1
+            share = round(count * 256 / good.sum())
+            assert np.isclose(forest.depth[tree, leaf], level + quality.expected_path(share))
+    anomaly = forest.anomaly(x)
+    values = np.unique(anomaly)
+    gain = [4 * (anomaly[good] <= v).mean() + (anomaly[~good] > v).mean() for v in values]
+    best = int(np.argmax(np.array(gain) >= max(gain) - 1e-12))
+    assert np.isclose(model.threshold, values[best:best + 2].mean(), rtol=1e-9)
+
+
 def test_isolation_depths():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 4))
