@@ -23,6 +23,40 @@ def test_csv_has_header_and_one_file_if_asked(spark, tmp_path):
     assert rows(spark.read.csv(path, header=True)) == [("1", "foo"), ("2", "bar")]
 
 
+def test_one_csv_file_is_written_by_many_tasks(spark, tmp_path):
+    """As text and read back, in all modes, and no task reads more than its part."""
+    path, log = str(tmp_path / "one file"), []
+    df = spark.range(0, 40_000, 1, 16).select("id", F.when(F.col("id") % 3 > 0, F.concat(
+        F.lit('a "b", é\\'), F.col("id"))).alias("val"))
+    shuffled = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one file", "one file")
+    try:
+        write_csv(df, path, num_files=1)
+        log = [stage.numTasks for job in shuffled.getJobIdsForGroup("one file")
+               for stage in map(shuffled.getStageInfo, shuffled.getJobInfo(job).stageIds) if stage]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(n >= 16 for n in log) == 2
+    (only,) = files(path, "csv")
+    write_csv(df.coalesce(1), str(tmp_path / "plain"))
+    (plain,) = files(str(tmp_path / "plain"), "csv")
+    assert only.read_bytes() == plain.read_bytes()
+    assert [p.name for p in Path(path).iterdir() if not p.name.startswith(".")
+            and p != only] == ["_SUCCESS"]
+    back = spark.read.schema(df.schema).csv(path, header=True)
+    assert back.count() == 40_000 and back.exceptAll(df).count() == 0
+    write_csv(df, path, mode="ignore", num_files=1)
+    assert files(path, "csv") == [only]
+    with pytest.raises(AnalysisException):
+        write_csv(df, path, mode="error", num_files=1)
+    write_csv(df, path, mode="append", num_files=1)
+    assert len(files(path, "csv")) == 2
+    assert spark.read.schema(df.schema).csv(path, header=True).count() == 80_000
+    write_csv(df.where("false"), f"file://{path}", num_files=1)
+    (only,) = files(path, "csv")
+    assert only.read_text() == "id,val\n"
+
+
 def test_csv_sorted_across_files(spark, tmp_path):
     path = str(tmp_path / "out")
     write_csv(spark.range(1000).repartition(7), path, num_files=3, sort_by=["id"])
