@@ -11,6 +11,9 @@ from millrace.workspace import scratch_path
 
 logger = logging.getLogger(__name__)
 
+#: Bytes that one task copies into a shared file.
+COPIED = 64 << 20
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               num_files: int | None = None, sort_by: list[str] | None = None) -> None:
@@ -62,8 +65,8 @@ def plain_path(path: str) -> str:
 def write_one_csv(df: DataFrame, path: str, mode: str) -> None:
     """One CSV file with a header, written by as many tasks as ``df`` has.
 
-    Each task stores its rows as a piece under the checkpoint folder; then each piece is copied to
-    its own place in the file, which gets its name when it is whole.  Spark's writer makes the
+    Each task stores its rows as a piece under the checkpoint folder; then stretches of the pieces
+    are copied to their own places in the file, which gets its name when it is whole.  Spark's writer makes the
     folder and the header, so it decides what ``mode`` means.
     """
     spark = df.sparkSession
@@ -81,19 +84,23 @@ def write_one_csv(df: DataFrame, path: str, mode: str) -> None:
     found = spark.read.format("binaryFile").load(pieces).select("path", "length").collect()
     offset, places = os.path.getsize(target), []
     for piece, length in sorted(found, key=lambda r: int(re.search(r"part-(\d+)", r.path)[1])):
-        if length:
-            places.append((plain_path(piece), offset, length))
-            offset += length
+        places += [(plain_path(piece), begin, min(COPIED, length - begin), offset + begin)
+                   for begin in range(0, length, COPIED)]
+        offset += length
 
-    def put(place: tuple[str, int, int]) -> None:
-        piece, start, length = place
+    def put(place: tuple[str, int, int, int]) -> None:
+        piece, begin, left, start = place
         with open(piece, "rb") as source, open(whole, "r+b") as out:
+            source.seek(begin)
             out.seek(start)
-            shutil.copyfileobj(source, out, 1 << 20)
+            while left:
+                some = source.read(min(left, 1 << 20))
+                if not some:
+                    raise OSError(f"{piece} is shorter than it was")
+                out.write(some)
+                left -= len(some)
             out.flush()
             os.fsync(out.fileno())
-            if out.tell() != start + length:
-                raise OSError(f"{piece} has changed")
 
     if places:
         spark.sparkContext.parallelize(places, len(places)).foreach(put)

@@ -57,6 +57,15 @@ def test_one_csv_file_is_written_by_many_tasks(spark, tmp_path):
     assert only.read_text() == "id,val\n"
 
 
+def test_large_pieces_are_copied_in_stretches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.sinks.files.COPIED", 1000)
+    df = spark.range(0, 3000, 1, 2).select("id", F.lit("é,x").alias("val"))
+    path, whole = str(tmp_path / "one"), ["id,val", *(f'{i},"é,x"' for i in range(3000))]
+    write_csv(df, path, num_files=1)
+    (only,) = files(path, "csv")
+    assert only.read_text().splitlines() == whole
+
+
 def test_csv_sorted_across_files(spark, tmp_path):
     path = str(tmp_path / "out")
     write_csv(spark.range(1000).repartition(7), path, num_files=3, sort_by=["id"])
