@@ -291,8 +291,9 @@ def calibrate(rows: DataFrame, forest: Forest, n_good: int, n_bad: int) -> float
             "part").collect():
         earlier.append((r.part, good, bad))
         good, bad = good + r.good, bad + r.bad
-    before = cuts.sparkSession.createDataFrame(earlier, "part bigint, good_before bigint, "
-                                                        "bad_before bigint")
+    # From Arrow, as rows of Python objects would start Python workers of their own to be read.
+    before = cuts.sparkSession.createDataFrame(pa.table(
+        dict(zip(("part", "good_before", "bad_before"), map(pa.array, zip(*earlier))))))
     so_far = Window.partitionBy("part").orderBy("anomaly").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     kept = (F.col("good_before") + F.sum("good").over(so_far)) / n_good
